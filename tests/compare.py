@@ -1,0 +1,48 @@
+"""Spark result vs DuckDB oracle: row count, column names/types, values."""
+
+from __future__ import annotations
+
+import math
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return float(f"{v:.9g}")
+    if hasattr(v, "isoformat"):
+        return v.isoformat()
+    return v
+
+
+def rows_of(records, cols):
+    return sorted((tuple(_norm(r[c]) for c in cols) for r in records), key=repr)
+
+
+def compare(spark_df, con, sql: str) -> tuple[bool, str]:
+    srows = [r.asDict() for r in spark_df.collect()]
+    scols = sorted(spark_df.columns)
+    rel = con.sql(sql)
+    ocols = sorted(rel.columns)
+    orecs = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
+    if scols != ocols:
+        return False, f"columns differ: {scols} vs {ocols}"
+    if len(srows) != len(orecs):
+        return False, f"row count {len(srows)} vs {len(orecs)}"
+    a, b = rows_of(srows, scols), rows_of(orecs, scols)
+    for x, y in zip(a, b):
+        if x != y:
+            return False, f"first difference: {x} vs {y}"
+    return True, f"{len(srows)} rows"
