@@ -83,3 +83,97 @@ SELECT trending_date, average_views, total_views, video_count,
          AS moving_avg_7d
 FROM daily ORDER BY trending_date""",
 }
+
+_R = "'ASIA'"
+
+ORACLE.update({
+    "top_categories": OBS + """
+SELECT category_id, category_name, count(*) AS number_of_videos
+FROM obs GROUP BY category_id, category_name
+ORDER BY number_of_videos DESC, category_id ASC NULLS FIRST, category_name ASC NULLS FIRST LIMIT 10""",
+
+    "top_engagement": OBS + """
+SELECT channel_id, channel_title, max(engagement) AS peak_engagement
+FROM obs GROUP BY channel_id, channel_title
+ORDER BY peak_engagement DESC NULLS LAST, channel_id ASC NULLS FIRST, channel_title ASC NULLS FIRST LIMIT 20""",
+
+    "view_count_change_per_day": OBS + f"""
+, r AS (SELECT * FROM obs WHERE region_code = {_R})
+, most AS (
+  SELECT video_id, title, count(*) AS trending_days FROM r GROUP BY video_id, title
+  ORDER BY trending_days DESC, video_id ASC NULLS FIRST, title ASC NULLS FIRST LIMIT 10)
+, daily AS (
+  SELECT video_id, trending_date AS date, max(view_count) AS view_count, max(title) AS title
+  FROM r WHERE video_id IN (SELECT video_id FROM most) GROUP BY video_id, trending_date)
+SELECT video_id, title, date, view_count,
+       lag(view_count) OVER (PARTITION BY video_id ORDER BY date) AS previous_day_views,
+       view_count - lag(view_count) OVER (PARTITION BY video_id ORDER BY date) AS views_difference
+FROM daily""",
+
+    "fastest_growth_videos": OBS + """
+, daily AS (
+  SELECT video_id, region_code, trending_date, max(view_count) AS view_count, max(title) AS title
+  FROM obs GROUP BY video_id, region_code, trending_date)
+, lagged AS (
+  SELECT *, lag(view_count) OVER w AS prev_views, lag(trending_date) OVER w AS prev_date
+  FROM daily WINDOW w AS (PARTITION BY video_id, region_code ORDER BY trending_date))
+, growth AS (
+  SELECT video_id, title, view_count - prev_views AS g FROM lagged
+  WHERE prev_views IS NOT NULL AND date_diff('day', prev_date, trending_date) = 1
+    AND view_count - prev_views BETWEEN 0 AND 200000000)
+SELECT video_id, title, max(g) AS max_daily_views_growth FROM growth GROUP BY video_id, title
+ORDER BY max_daily_views_growth DESC, video_id ASC NULLS FIRST, title ASC NULLS FIRST LIMIT 20""",
+
+    "engagement_by_region": OBS + """
+SELECT region_code, avg(engagement) AS average_engagement, avg(likes) AS average_likes,
+       avg(comment_count) AS average_comments, avg(view_count) AS average_views
+FROM obs GROUP BY region_code ORDER BY average_engagement DESC""",
+
+    "regional_engagement": OBS + """
+SELECT region_code, avg(engagement) AS average_engagement FROM obs GROUP BY region_code
+ORDER BY average_engagement DESC NULLS LAST, region_code ASC NULLS FIRST LIMIT 20""",
+
+    "top_tags": OBS + """
+, t AS (SELECT unnest(string_split(tags, '|')) AS tag FROM obs WHERE tags IS NOT NULL)
+SELECT tag, count(*) AS number_of_videos FROM t GROUP BY tag
+ORDER BY number_of_videos DESC, tag ASC NULLS FIRST LIMIT 20""",
+
+    "top_tag_combinations": OBS + f"""
+, items AS (
+  SELECT video_id, count(DISTINCT trending_date) AS trending_days, min(tags) AS tags
+  FROM obs WHERE region_code = {_R} GROUP BY video_id)
+, arr AS (SELECT trending_days, list_sort(string_split(tags, '|')) AS a FROM items WHERE tags IS NOT NULL)
+, pairs AS (
+  SELECT trending_days, a[i] || '|' || a[j] AS tag_pair
+  FROM arr, generate_series(1, len(a)) AS g1(i), generate_series(1, len(a)) AS g2(j)
+  WHERE i < j)
+SELECT tag_pair, avg(trending_days) AS average_trending_days, count(*) AS video_count
+FROM pairs GROUP BY tag_pair HAVING count(*) >= 20
+ORDER BY average_trending_days DESC, tag_pair ASC NULLS FIRST LIMIT 20""",
+
+    "avg_comments_per_category": OBS + """
+SELECT category_id, category_name, avg(comment_count) AS average_comments
+FROM obs GROUP BY category_id, category_name
+ORDER BY average_comments DESC NULLS LAST, category_id ASC NULLS FIRST, category_name ASC NULLS FIRST
+LIMIT 20""",
+
+    "trending_by_day_of_week": OBS + """
+SELECT CAST(dayofweek(trending_date) + 1 AS INTEGER) AS day_of_week, count(video_id) AS video_count,
+       avg(view_count) AS average_views, avg(likes) AS average_likes,
+       avg(dislikes) AS average_dislikes, avg(comment_count) AS average_comments,
+       avg(engagement) AS average_engagement
+FROM obs GROUP BY 1 ORDER BY 1""",
+
+    "duration_vs_popularity": OBS + """
+SELECT CASE WHEN duration_seconds < 240 THEN 'short (< 4 min)'
+            WHEN duration_seconds <= 1200 THEN 'medium (4-20 min)'
+            ELSE 'long (> 20 min)' END AS duration_length,
+       avg(view_count) AS average_views
+FROM obs GROUP BY 1 ORDER BY 1""",
+
+    "hist_region_stats": OBS + """
+SELECT region_code, avg(view_count) AS hist_avg_views, stddev_samp(view_count) AS hist_stddev_views
+FROM obs GROUP BY region_code""",
+
+    "hist_channel_ids": OBS + "SELECT DISTINCT channel_id FROM obs",
+})
