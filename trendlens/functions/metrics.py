@@ -22,12 +22,15 @@ def cents(value) -> Column:
 
 
 def half_up_hundredths(total_cents: Column, n: Column) -> Column:
-    """``round(total / n / 100, 2)`` rounded half-up exactly, as a double.
+    """``total_cents / n / 100`` rounded half-up to two decimals, as a double.
 
-    Works on the integer sum so both engines agree on exact halves; NULL when
-    there are no rows.
+    Exact integer arithmetic on decimal(38,0) (no overflow, no float error):
+    ``floor((2 * total + n) / (2 * n))`` taken as ``(a - pmod(a, b)) / b``, so
+    both engines agree on exact halves. NULL when there are no rows.
     """
-    q = F.floor((total_cents * 2 + n) / (n * 2))
+    a = total_cents.cast("decimal(38,0)") * 2 + n.cast("decimal(38,0)")
+    b = (n * 2).cast("decimal(38,0)")
+    q = ((a - F.pmod(a, b)) / b).cast("decimal(38,0)")
     return F.when(n > 0, (q / F.lit(100)).cast("double"))
 
 

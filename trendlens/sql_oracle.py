@@ -177,3 +177,46 @@ FROM obs GROUP BY region_code""",
 
     "hist_channel_ids": OBS + "SELECT DISTINCT channel_id FROM obs",
 })
+
+_STREAM = {
+    "duration_distribution": EV + """
+SELECT count(*) FILTER (WHERE duration_sec < 240) AS short_videos_count,
+       count(*) FILTER (WHERE duration_sec >= 240 AND duration_sec < 1200) AS medium_videos_count,
+       count(*) FILTER (WHERE duration_sec >= 1200) AS long_videos_count,
+       CAST(ws AS VARCHAR) AS window_start, CAST(ws + INTERVAL '1 hour' AS VARCHAR) AS window_end
+FROM ev GROUP BY ws""",
+
+    "channel_regional_reach": EV + """
+, per_window AS (
+  SELECT channel_title, count(DISTINCT region_code) AS reach
+  FROM ev GROUP BY ws, channel_id, channel_title)
+, best AS (SELECT channel_title, max(reach) AS regional_reach FROM per_window GROUP BY channel_title)
+SELECT channel_title, regional_reach FROM best
+QUALIFY rank() OVER (ORDER BY regional_reach DESC) <= 15""",
+
+    "trending_freshness": EV + """
+, seen AS (SELECT video_id, min(event_time) AS t FROM ev GROUP BY video_id)
+SELECT count(*) AS fresh_count, CAST(time_bucket(INTERVAL '1 hour', t) AS VARCHAR) AS window_start
+FROM seen GROUP BY 2""",
+
+    "historical_overlap": EV + """
+, keyed AS (SELECT DISTINCT ws, channel_id FROM ev)
+, hc AS (SELECT DISTINCT channel_id FROM hist)
+, flagged AS (SELECT k.ws, k.channel_id, hc.channel_id AS h FROM keyed k LEFT JOIN hc ON k.channel_id = hc.channel_id)
+SELECT CAST(ws AS VARCHAR) AS window_start, count(*) AS total_channels, count(h) AS hist_overlap,
+       count(*) - count(h) AS new_channels,
+       CAST((2 * count(h) * 10000 + count(*)) // (2 * count(*)) AS DOUBLE) / 100.0 AS overlap_pct
+FROM flagged GROUP BY ws""",
+
+    "current_vs_historical_views": EV + f"""
+, cur AS (
+  SELECT ws, max(view_count) AS current_max_views, {HALF_UP.format(v='view_count')} AS current_avg_views
+  FROM ev GROUP BY ws)
+, base AS (
+  SELECT max(view_count) AS hist_max_views, {HALF_UP.format(v='view_count')} AS hist_avg_views FROM hist)
+SELECT CAST(ws AS VARCHAR) AS window_start, current_max_views, current_avg_views,
+       hist_max_views, hist_avg_views
+FROM cur, base""",
+}
+ORACLE.update(_STREAM)
+ORACLE.update({f"{k}_stream": v for k, v in _STREAM.items()})
