@@ -19,18 +19,13 @@ OBSERVATION_COLUMNS = (
 )
 
 
-def prepare(raw: DataFrame, category_names: dict[int, str] | None = None,
-            max_views: int = MAX_REALISTIC_VIEWS) -> DataFrame:
-    """Normalise names, type every column, drop outliers, derive
-    ``category_name``, ``duration_seconds`` and ``engagement``.
+def select_typed(df: DataFrame) -> DataFrame:
+    """Keep the input columns the table needs, each as its type.
 
-    Works on all-text input (a CSV read without inference) and on typed input
-    alike: every conversion is a ``try_cast``, so a bad value becomes NULL
-    instead of failing the job under ANSI mode. Rows with NULL or more than
-    ``max_views`` views are dropped; extra columns are dropped.
+    Every conversion is a ``try_cast``, so a bad value becomes NULL instead of
+    failing the job under ANSI mode; extra columns are dropped.
     """
-    df = snake_case_columns(raw)
-    typed = df.select(
+    return df.select(
         F.col("region_code").cast("string").alias("region_code"),
         F.col("video_id").cast("string").alias("video_id"),
         F.col("title").cast("string").alias("title"),
@@ -45,10 +40,32 @@ def prepare(raw: DataFrame, category_names: dict[int, str] | None = None,
         F.col("dislikes").try_cast("bigint").alias("dislikes"),
         F.col("comment_count").try_cast("bigint").alias("comment_count"),
         F.col("duration").cast("string").alias("duration"),
-    ).where(F.col("view_count") <= F.lit(max_views))
-    return typed.select(
-        *[c for c in typed.columns if c not in ("duration",)],
+    )
+
+
+def drop_outliers(df: DataFrame, max_views: int = MAX_REALISTIC_VIEWS) -> DataFrame:
+    """P5: keep rows with at most ``max_views`` views; NULL views drop too."""
+    return df.where(F.col("view_count") <= F.lit(max_views))
+
+
+def add_derived(df: DataFrame, category_names: dict[int, str] | None = None) -> DataFrame:
+    """Category name, duration in seconds (replacing the text) and
+    engagement rate, in the observation column order."""
+    return df.select(
+        *[c for c in df.columns if c != "duration"],
         category_name("category_id", category_names).alias("category_name"),
         prepared_duration_seconds("duration").alias("duration_seconds"),
         engagement_rate("view_count", "likes", "comment_count").alias("engagement"),
     ).select(*OBSERVATION_COLUMNS)
+
+
+def prepare(raw: DataFrame, category_names: dict[int, str] | None = None,
+            max_views: int = MAX_REALISTIC_VIEWS) -> DataFrame:
+    """Normalise names, type every column, drop outliers, derive
+    ``category_name``, ``duration_seconds`` and ``engagement``.
+
+    Works on all-text input (a CSV read without inference) and on typed input
+    alike. Rows with NULL or more than ``max_views`` views are dropped.
+    """
+    typed = select_typed(snake_case_columns(raw))
+    return add_derived(drop_outliers(typed, max_views), category_names)

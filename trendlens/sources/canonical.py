@@ -1,8 +1,8 @@
 """The trending data model laid over the driver's tables.
 
-``raw_observations`` has the shape of the raw trending CSV (camelCase names,
-text dates, an ISO-8601 duration text); ``observations`` is that frame after
-``prepare``. ``stream_messages`` turns ``events`` into transport envelopes
+``raw_observations`` has the columns of the raw trending CSV (camelCase names,
+an ISO-8601 duration text) with the types the driver tables already carry;
+``observations`` is that frame after ``prepare``. ``stream_messages`` turns ``events`` into transport envelopes
 ``(key, value, timestamp)`` with a JSON value, and ``stream_history`` is the
 slice of those events that plays the stored history.
 
@@ -27,7 +27,6 @@ from trendlens.sources.tables import read_table
 # The stream mapping's history is everything before this instant (UTC).
 HISTORY_CUTOFF = "2024-01-01 06:00:00"
 STREAM_CHANNELS = 50
-ISO_SECOND = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,15 +41,18 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # Resolve each order's region on the order side (orders are a quarter of
     # the lineitem rows), so lineitem itself is shuffled once for that join.
-    # nation/region are tiny and fall under the automatic broadcast threshold;
-    # every other join strategy is left to the planner and AQE.
+    # lineitem x orders is a fact-to-fact join: pin it to a sort-merge join so
+    # neither side is ever collected for a broadcast, whatever the size
+    # estimate says. nation/region are tiny and fall under the automatic
+    # broadcast threshold; part/supplier/customer are left to the planner and
+    # AQE (broadcast while small, sort-merge beyond).
     cust_region = (customer
                    .join(nation, customer.c_nationkey == nation.n_nationkey)
                    .join(region, nation.n_regionkey == region.r_regionkey)
                    .select("c_custkey", "r_name"))
     order_region = (orders.join(cust_region, orders.o_custkey == cust_region.c_custkey)
                     .select("o_orderkey", "o_orderdate", "r_name"))
-    return (li.join(order_region, li.l_orderkey == order_region.o_orderkey)
+    return (li.join(order_region.hint("merge"), li.l_orderkey == order_region.o_orderkey)
             .join(part, li.l_partkey == part.p_partkey)
             .join(supplier, li.l_suppkey == supplier.s_suppkey))
 
@@ -68,11 +70,11 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("region_code"),
         F.col("l_partkey").cast("string").alias("video_id"),
         F.col("p_name").alias("title"),
-        F.date_format("o_orderdate", ISO_SECOND).alias("publishedAt"),
+        F.col("o_orderdate").cast("timestamp").alias("publishedAt"),
         F.col("l_suppkey").cast("string").alias("channelId"),
         F.col("s_name").alias("channelTitle"),
         size.alias("categoryId"),
-        F.date_format("l_shipdate", ISO_SECOND).alias("trending_date"),
+        F.col("l_shipdate").cast("date").alias("trending_date"),
         tags.alias("tags"),
         F.floor("l_extendedprice").alias("view_count"),
         qty.alias("likes"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -18,11 +18,26 @@ def read_raw_csv(spark: SparkSession, path: str, schema: StructType | str | None
     return reader.csv(path)
 
 
-def write_observations(df: DataFrame, path: str, partition_by: str | None = "region_code") -> None:
+def write_observations(df: DataFrame, path: str, partition_by: str | None = "region_code",
+                       files_per_partition: int | None = None) -> None:
     """Overwrite the observation table, partitioned by region so region
-    filters prune whole directories; rows are clustered by item and day inside
-    each file so row-group statistics stay selective."""
-    w = df.sortWithinPartitions("video_id", "trending_date").write.mode("overwrite")
+    filters prune whole directories.
+
+    With ``files_per_partition`` the rows are first hash-distributed on
+    (region, item bucket): every task then writes one file of one region, a
+    region that holds a third of all rows is still spread over that many
+    tasks, and all rows of an item sit in one file per region. Without it the
+    upstream partitioning is kept (one file per region per task). Inside each
+    task rows are sorted by region, item and day: the region prefix is the
+    order the partitioned writer needs anyway, and item/day keep row-group
+    statistics selective.
+    """
+    out = df
+    if files_per_partition and partition_by:
+        bucket = F.pmod(F.xxhash64("video_id"), F.lit(files_per_partition))
+        out = out.repartition(partition_by, bucket)
+    order = ([partition_by] if partition_by else []) + ["video_id", "trending_date"]
+    w = out.sortWithinPartitions(*order).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)

@@ -21,6 +21,7 @@ WITH raw AS (
   SELECT r.r_name AS region_code,
          CAST(l.l_partkey AS VARCHAR) AS video_id,
          p.p_name AS title,
+         CAST(o.o_orderdate AS TIMESTAMP) AS published_at,
          CAST(l.l_suppkey AS VARCHAR) AS channel_id,
          s.s_name AS channel_title,
          p.p_size AS category_id,
@@ -220,3 +221,43 @@ FROM cur, base""",
 }
 ORACLE.update(_STREAM)
 ORACLE.update({f"{k}_stream": v for k, v in _STREAM.items()})
+
+_RAW = OBS.replace("\nobs AS (", "\nunused AS (")
+
+_MSG = """
+WITH msg AS (
+  SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS collected_at,
+         event_type AS region_code,
+         CAST(user_id AS VARCHAR) AS video_id,
+         'Item ' || CAST(user_id AS VARCHAR) AS title,
+         CAST(user_id % 50 AS VARCHAR) AS channel_id,
+         'Channel#' || CAST(user_id % 50 AS VARCHAR) AS channel_title,
+         value AS view_count,
+         'PT' || regexp_extract(props, '"k":\\s*(\\d+)', 1) || 'M' AS duration,
+         CAST(ts AS TIMESTAMP) AS kafka_ts,
+         CAST(ts AS TIMESTAMP) AS event_time,
+         CAST(regexp_extract(props, '"k":\\s*(\\d+)', 1) AS BIGINT) * 60 AS duration_sec
+  FROM events)
+"""
+
+ORACLE.update({
+    "category_lookup": OBS + "SELECT DISTINCT category_id, category_name FROM obs",
+    "iso8601_duration": _RAW + """
+SELECT DISTINCT duration,
+       CAST(COALESCE(TRY_CAST(regexp_extract(duration, 'PT(\\d+)H', 1) AS INTEGER), 0) * 3600
+          + COALESCE(TRY_CAST(regexp_extract(duration, 'PT(?:\\d+H)?(\\d+)M', 1) AS INTEGER), 0) * 60
+          + COALESCE(TRY_CAST(regexp_extract(duration, 'PT(?:\\d+H)?(?:\\d+M)?(\\d+)S', 1) AS INTEGER), 0)
+          AS INTEGER) AS duration_seconds
+FROM raw""",
+    "engagement_rate": OBS + """
+SELECT video_id, region_code, trending_date, view_count, likes, comment_count, engagement FROM obs""",
+    "prepare_observations": OBS + "SELECT * FROM obs",
+    "snake_case_columns": _RAW + "SELECT * FROM raw",
+    "typed_casts": _RAW + "SELECT * FROM raw",
+    "outlier_filter": _RAW + "SELECT * FROM raw WHERE view_count <= 25000000000",
+    "stream_parse": _MSG + """
+SELECT collected_at, region_code, video_id, title, channel_id, channel_title, view_count, duration,
+       kafka_ts, event_time, duration_sec FROM msg""",
+    "event_time": _MSG + "SELECT video_id, collected_at, kafka_ts, event_time FROM msg",
+    "stream_duration": _MSG + "SELECT DISTINCT duration, duration_sec FROM msg",
+})
