@@ -1,0 +1,20 @@
+"""Small observation frames (F2 schema) for edge cases."""
+
+import datetime as dt
+
+OBS_SCHEMA = ("region_code string, video_id string, title string, published_at timestamp, "
+              "channel_id string, channel_title string, category_id int, category_name string, "
+              "trending_date date, tags string, view_count bigint, likes bigint, dislikes bigint, "
+              "comment_count bigint, duration_seconds int, engagement double")
+
+
+def obs_row(video="v1", day=1, views=100, region="US", title=None, tags="a|b", channel="c1",
+            category=10, likes=1, dislikes=0, comments=0, duration=300, engagement=0.01,
+            month=1):
+    return (region, video, title or f"title {video}", dt.datetime(2026, 1, 1), channel,
+            f"channel {channel}", category, "Music", dt.date(2026, month, day), tags, views, likes,
+            dislikes, comments, duration, engagement)
+
+
+def obs_frame(spark, rows):
+    return spark.createDataFrame(rows, OBS_SCHEMA)
