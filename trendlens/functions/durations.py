@@ -20,9 +20,11 @@ STREAM_SECONDS = r"(\d+)S"
 
 
 def _unit(text: Column, pattern: str) -> Column:
-    # regexp_extract yields '' when nothing matches; try_cast turns that (and
-    # digit runs too long for a bigint) into NULL instead of failing under ANSI.
-    return F.coalesce(F.regexp_extract(text, pattern, 1).try_cast("bigint"), F.lit(0).cast("bigint"))
+    # regexp_extract yields '' when nothing matches. That becomes NULL before
+    # the cast: a failing cast costs a JVM exception per row even inside
+    # try_cast. try_cast still guards digit runs too long for a bigint.
+    digits = F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+    return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _seconds(text, h: str, m: str, s: str) -> Column:

@@ -105,14 +105,17 @@ def _event_columns(ev: DataFrame) -> DataFrame:
     )
 
 
-def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_messages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Envelopes ``key binary, value binary, timestamp timestamp``.
 
     ``collected_at`` is written the way the producer writes it (ISO-8601 with
     microseconds and a ``+00:00`` offset); the transport timestamp is the same
-    instant.
+    instant. Like a topic, the messages are spread over ``partitions``
+    (default: the session's parallelism) by item key, so decoding runs in
+    parallel even when the events table is a single row group.
     """
-    e = _event_columns(_events(spark, sf_dir))
+    n = partitions or spark.sparkContext.defaultParallelism
+    e = _event_columns(_events(spark, sf_dir)).repartition(n, "video_id")
     payload = F.struct(
         F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
          .alias("collected_at"),

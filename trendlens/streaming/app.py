@@ -32,8 +32,13 @@ NAMES = tuple(TRIGGERS)
 class TrendStreams:
     def __init__(self, spark: SparkSession, root: str, history: DataFrame | None = None,
                  window: str = P.DEFAULT_WINDOW, reach_k: int = P.DEFAULT_REACH_K,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS):
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 state_partitions: int | None = None):
+        """``state_partitions`` fixes the number of state-store partitions of
+        every query (size it to the key volume: it cannot change once a
+        checkpoint exists); ``None`` takes the session's shuffle setting."""
         self.spark = spark
+        self.state_partitions = state_partitions
         self.root = root.rstrip("/")
         self.history = history
         self.window = window
@@ -46,10 +51,21 @@ class TrendStreams:
     def _start(self, name: str, updates: DataFrame, sink: BatchLog,
                trigger: dict | None) -> StreamingQuery:
         trig = trigger if trigger is not None else {"processingTime": TRIGGERS[name]}
-        return (updates.writeStream.outputMode("update").foreachBatch(sink)
-                .option("checkpointLocation", f"{self.root}/checkpoints/{name}")
-                .queryName(f"{name}_{abs(hash(self.root)) % 10**8}")
-                .trigger(**trig).start())
+        writer = (updates.writeStream.outputMode("update").foreachBatch(sink)
+                  .option("checkpointLocation", f"{self.root}/checkpoints/{name}")
+                  .queryName(f"{name}_{abs(hash(self.root)) % 10**8}")
+                  .trigger(**trig))
+        if self.state_partitions is None:
+            return writer.start()
+        # A query copies the session conf when it starts; the partition count
+        # is then recorded in its checkpoint.
+        key = "spark.sql.shuffle.partitions"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, str(self.state_partitions))
+        try:
+            return writer.start()
+        finally:
+            self.spark.conf.set(key, before)
 
     # history, materialised once per start ---------------------------------------------------
     def _history(self) -> DataFrame:
