@@ -36,6 +36,8 @@ from trendlens.streaming import processors as S
 
 REGION = "ASIA"
 WINDOW = "1 hour"
+# The reference runs its streaming session with 4 shuffle (= state) partitions.
+STREAM_STATE_PARTITIONS = 4
 
 
 def _timed(fn, repeat):
@@ -104,7 +106,7 @@ def main() -> None:
 
     def replay():
         app = TrendStreams(spark, shared_dir(spark, "bench-replay-run", fresh=True), history=hist,
-                           window=WINDOW, state_partitions=cpus)
+                           window=WINDOW, state_partitions=STREAM_STATE_PARTITIONS)
         parsed = parse_messages(replay_stream(spark, f"{run_root}/input"))
         for q in app.start_all(parsed, trigger={"availableNow": True}):
             q.awaitTermination()

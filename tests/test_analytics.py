@@ -110,3 +110,15 @@ def test_categories_keep_both_comedy_codes(spark):
     df = df.withColumn("category_name", category_name("category_id"))
     out = {r["category_id"]: r["number_of_videos"] for r in plans.top_categories(df).collect()}
     assert out == {23: 1, 34: 2}
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abcdef"), min_size=1, max_size=5), min_size=1, max_size=30),
+       st.integers(min_value=1, max_value=6), st.booleans())
+def test_pruned_pairs_equal_unpruned(spark, tag_lists, min_videos, distinct):
+    rows = [obs_row(video=f"v{i}", tags="|".join(t), day=1 + i % 3) for i, t in enumerate(tag_lists)]
+    df = obs_frame(spark, rows)
+    kw = dict(region="US", min_videos=min_videos, k=1000, distinct_tags=distinct)
+    a = sorted(tuple(r) for r in plans.top_tag_combinations(df, prune=True, **kw).collect())
+    b = sorted(tuple(r) for r in plans.top_tag_combinations(df, prune=False, **kw).collect())
+    assert a == b

@@ -1,10 +1,16 @@
 from trendlens.operators.joins import has_at_most, join_small
 from trendlens.operators.series import moving_average, one_per_period, period_delta
-from trendlens.operators.tags import explode_tags, sorted_pairs, tag_array, tag_pairs
+from trendlens.operators.tags import (
+    explode_tags,
+    keep_pairable_tags,
+    sorted_pairs,
+    tag_array,
+    tag_pairs,
+)
 from trendlens.operators.topk import kth_best, top_k, top_k_with_ties
 
 __all__ = [
     "has_at_most", "join_small", "moving_average", "one_per_period", "period_delta",
-    "explode_tags", "sorted_pairs", "tag_array", "tag_pairs", "kth_best", "top_k",
+    "explode_tags", "keep_pairable_tags", "sorted_pairs", "tag_array", "tag_pairs", "kth_best", "top_k",
     "top_k_with_ties",
 ]

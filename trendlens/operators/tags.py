@@ -50,3 +50,35 @@ def tag_pairs(df: DataFrame, col: str = "tags", sep: str = TAG_SEPARATOR,
     if distinct_tags:
         arr = F.array_distinct(arr)
     return df.withColumn(name, F.explode(sorted_pairs(arr, sep)))
+
+
+def keep_pairable_tags(items: DataFrame, key: str, col: str = "tags", min_count: int = 1,
+                       sep: str = TAG_SEPARATOR, distinct_tags: bool = False,
+                       name: str = "tag_list") -> DataFrame:
+    """Each item's sorted tag array, without the tags that cannot be part of
+    any pair emitted at least ``min_count`` times (exact pruning).
+
+    A pair (a, b) emitted c times satisfies c <= sum over a's occurrences of
+    (tags in that item - 1) -- and, with distinct tags, c <= number of items
+    carrying a. Tags under the bound are dropped; every pair that can reach
+    ``min_count`` keeps exactly the same occurrences, so pair counts and their
+    averages are unchanged. Rare long-tail tags, the bulk of a real tag
+    vocabulary, never enter the quadratic pair step.
+
+    The pruned set is joined back without a hint: AQE broadcasts it when the
+    shuffle shows it small and splits a skewed (hot) tag otherwise. Items are
+    regrouped by ``key``; a group holds one item's own tags.
+    """
+    arr = tag_array(col, sep)
+    if distinct_tags:
+        arr = F.array_distinct(arr)
+    other = [c for c in items.columns if c not in (key, col)]
+    exploded = (items.select(key, *other, arr.alias("_arr"))
+                .select(key, *other, (F.size("_arr") - 1).alias("_others"),
+                        F.explode("_arr").alias("_tag")))
+    bound = F.count("*") if distinct_tags else F.sum("_others")
+    pairable = (exploded.where(F.col("_others") > 0).groupBy("_tag").agg(bound.alias("_bound"))
+                .where(F.col("_bound") >= min_count).select("_tag"))
+    kept = exploded.join(pairable, "_tag", "left_semi")
+    return (kept.groupBy(key).agg(*[F.max(c).alias(c) for c in other],
+                                  F.array_sort(F.collect_list("_tag")).alias(name)))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from trendlens.functions.durations import prepared_duration_bucket
 from trendlens.operators.series import moving_average, one_per_period, period_delta
-from trendlens.operators.tags import explode_tags, tag_pairs
+from trendlens.operators.tags import explode_tags, keep_pairable_tags, sorted_pairs, tag_pairs
 from trendlens.operators.topk import top_k
 
 DEFAULT_REGION = "US"
@@ -104,7 +104,7 @@ def top_tags(obs: DataFrame, k: int = 20) -> DataFrame:
 
 
 def top_tag_combinations(obs: DataFrame, region: str = DEFAULT_REGION, min_videos: int = 20,
-                         k: int = 20, distinct_tags: bool = False) -> DataFrame:
+                         k: int = 20, distinct_tags: bool = False, prune: bool = True) -> DataFrame:
     """Per tag pair of the items of ``region``, the average number of
     distinct trending days of the items carrying it; pairs on at least
     ``min_videos`` items, top ``k`` by that average.
@@ -112,12 +112,18 @@ def top_tag_combinations(obs: DataFrame, region: str = DEFAULT_REGION, min_video
     One tag text per item (the smallest, so the survivor is deterministic);
     pairs come from that item's sorted tag array, single-tag items give none
     (Q-1), duplicated tags give repeated pairs unless ``distinct_tags`` (Q-15).
+    With ``prune`` tags that cannot reach ``min_videos`` in any pair are
+    dropped before pairing (exact, see ``keep_pairable_tags``).
     """
     r = obs.where(F.col("region_code") == region)
     items = r.groupBy("video_id").agg(
         F.countDistinct("trending_date").alias("trending_days"),
         F.min("tags").alias("tags"))
-    pairs = tag_pairs(items, "tags", distinct_tags=distinct_tags)
+    if prune:
+        kept = keep_pairable_tags(items, "video_id", "tags", min_videos, distinct_tags=distinct_tags)
+        pairs = kept.withColumn("tag_pair", F.explode(sorted_pairs("tag_list")))
+    else:
+        pairs = tag_pairs(items, "tags", distinct_tags=distinct_tags)
     stats = (pairs.groupBy("tag_pair").agg(
         F.avg("trending_days").alias("average_trending_days"),
         F.count("*").alias("video_count"))

@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Commit only the changelog each micro-batch; snapshots are taken in the background.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
