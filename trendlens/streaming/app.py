@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from trendlens.operators.joins import DEFAULT_BROADCAST_ROWS, has_at_most
 from trendlens.plans.history import hist_channel_ids, views_baseline
 from trendlens.streaming import processors as P
-from trendlens.streaming.sinks import BatchLog, latest_per_key
+from trendlens.streaming.sinks import BatchLog, fold_per_key, latest_per_key
 
 # The processing-time trigger of each query.
 TRIGGERS = {
@@ -28,17 +28,30 @@ TRIGGERS = {
 }
 NAMES = tuple(TRIGGERS)
 
+# How each sink folds its log without changing the final table.
+LOG_MERGES = {
+    "duration_distribution": lambda log: latest_per_key(log, ["window_start"], keep_version=True),
+    "channel_regional_reach": fold_per_key(["channel_title"], regional_reach=F.max,
+                                           window_start=F.max),
+    "trending_freshness": fold_per_key(["video_id"], first_seen=F.min),
+    "historical_overlap": fold_per_key(["window_start", "channel_id"], in_hist=F.max),
+    "current_vs_historical_views": lambda log: latest_per_key(log, ["window_start"],
+                                                              keep_version=True),
+}
+
 
 class TrendStreams:
     def __init__(self, spark: SparkSession, root: str, history: DataFrame | None = None,
                  window: str = P.DEFAULT_WINDOW, reach_k: int = P.DEFAULT_REACH_K,
                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 state_partitions: int | None = None):
+                 state_partitions: int | None = None, compact_every: int | None = 50):
         """``state_partitions`` fixes the number of state-store partitions of
         every query (size it to the key volume: it cannot change once a
-        checkpoint exists); ``None`` takes the session's shuffle setting."""
+        checkpoint exists); ``None`` takes the session's shuffle setting.
+        ``compact_every`` batches each sink folds its log into a snapshot."""
         self.spark = spark
         self.state_partitions = state_partitions
+        self.compact_every = compact_every
         self.root = root.rstrip("/")
         self.history = history
         self.window = window
@@ -46,7 +59,7 @@ class TrendStreams:
         self.max_broadcast_rows = max_broadcast_rows
 
     def log(self, name: str, prepare=None) -> BatchLog:
-        return BatchLog(f"{self.root}/out/{name}", prepare)
+        return BatchLog(f"{self.root}/out/{name}", prepare, LOG_MERGES[name], self.compact_every)
 
     def _start(self, name: str, updates: DataFrame, sink: BatchLog,
                trigger: dict | None) -> StreamingQuery:

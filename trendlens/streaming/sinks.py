@@ -20,33 +20,92 @@ VERSION_COL = "batch_id"
 
 
 class BatchLog:
+    """``merge`` (optional) folds a log into an equivalent smaller one -- it
+    must keep the columns, ``batch_id`` included, and give the same final
+    table when the reader's merge runs on top. With ``compact_every`` the sink
+    then writes a snapshot of everything up to batch N every that many
+    batches (``<root>/_snapshots/upto=N``) and records N in
+    ``<root>/_manifest``; readers take the newest recorded snapshot plus the
+    batch folders after it (partition pruning skips the older ones), so read
+    cost stays proportional to the merged state, not to the stream's history.
+    A replayed batch rewrites the same snapshot and manifest entry.
+    """
+
     def __init__(self, root: str,
-                 prepare: Callable[[DataFrame, int], DataFrame] | None = None):
+                 prepare: Callable[[DataFrame, int], DataFrame] | None = None,
+                 merge: Callable[[DataFrame], DataFrame] | None = None,
+                 compact_every: int | None = None):
         self.root = root.rstrip("/")
         self.prepare = prepare
+        self.merge = merge
+        self.compact_every = compact_every if merge is not None else None
 
     def path(self, batch_id: int) -> str:
         return f"{self.root}/{VERSION_COL}={batch_id}"
 
+    @property
+    def _snapshots(self) -> str:
+        return f"{self.root}/_snapshots"
+
+    @property
+    def _manifest(self) -> str:
+        return f"{self.root}/_manifest"
+
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         out = self.prepare(batch_df, batch_id) if self.prepare else batch_df
         out.write.mode("overwrite").parquet(self.path(batch_id))
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            self.compact(batch_df.sparkSession, batch_id)
+
+    def _latest_snapshot(self, spark: SparkSession) -> int | None:
+        try:
+            return spark.read.parquet(self._manifest).agg(F.max("upto")).first()[0]
+        except AnalysisException:
+            return None
+
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Write the merged log up to batch ``upto`` and record it."""
+        merged = self.merge(self._read(spark, max_batch=upto))
+        merged.write.mode("overwrite").parquet(f"{self._snapshots}/upto={upto}")
+        spark.createDataFrame([(upto,)], "upto int").write.mode("append").parquet(self._manifest)
+
+    def _read(self, spark: SparkSession, max_batch: int | None = None) -> DataFrame:
+        log = spark.read.parquet(self.root)
+        snap = self._latest_snapshot(spark)
+        if snap is not None:
+            base = spark.read.parquet(f"{self._snapshots}/upto={snap}")
+            log = base.unionByName(log.where(F.col(VERSION_COL) > snap))
+        if max_batch is not None:
+            log = log.where(F.col(VERSION_COL) <= max_batch)
+        return log
 
     def read(self, spark: SparkSession, schema: StructType | None = None) -> DataFrame:
-        """All logged rows plus ``batch_id``; empty (with ``schema``) when no
-        batch has been written yet."""
+        """All logged rows (or their compacted equivalent) plus ``batch_id``;
+        empty (with ``schema``) when no batch has been written yet."""
         try:
-            return spark.read.parquet(self.root)
+            return self._read(spark)
         except AnalysisException:
             if schema is None:
                 raise
             return spark.createDataFrame([], schema.add(VERSION_COL, "int"))
 
 
-def latest_per_key(log: DataFrame, keys: list[str], version: str = VERSION_COL) -> DataFrame:
+def latest_per_key(log: DataFrame, keys: list[str], version: str = VERSION_COL,
+                   keep_version: bool = False) -> DataFrame:
     """For every key the row of its highest batch id, as an aggregation (map-
     side combined, no sort): keys emitted by many batches stay cheap."""
     values = [c for c in log.columns if c not in keys and c != version]
-    return (log.groupBy(*keys)
-            .agg(F.max_by(F.struct(*values), F.col(version)).alias("_row"))
-            .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values]))
+    out = (log.groupBy(*keys)
+           .agg(F.max_by(F.struct(*values), F.col(version)).alias("_row"),
+                F.max(version).alias(version)))
+    cols = [*keys, *[F.col(f"_row.{c}").alias(c) for c in values]]
+    return out.select(*cols, version) if keep_version else out.select(*cols)
+
+
+def fold_per_key(keys: list[str], **aggs) -> Callable[[DataFrame], DataFrame]:
+    """A log merge: one row per key with the given aggregate per column
+    (e.g. ``regional_reach=F.max``) and the newest batch id."""
+    def merge(log: DataFrame) -> DataFrame:
+        return log.groupBy(*keys).agg(*[fn(c).alias(c) for c, fn in aggs.items()],
+                                      F.max(VERSION_COL).alias(VERSION_COL))
+    return merge
