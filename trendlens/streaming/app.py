@@ -92,9 +92,12 @@ class TrendStreams:
         table = self.spark.read.parquet(path)
         return table, has_at_most(table, self.max_broadcast_rows)
 
-    def _baseline(self) -> tuple:
-        row = views_baseline(self._history()).first()
-        return row["hist_max_views"], row["hist_avg_views"]
+    def _baseline(self) -> DataFrame:
+        """The history's one-row baseline, written once to the shared folder;
+        every micro-batch reads that row back as a scalar subquery."""
+        path = f"{self.root}/state/views_baseline"
+        views_baseline(self._history()).write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     # starting -------------------------------------------------------------------------------
     def start(self, name: str, parsed: DataFrame, trigger: dict | None = None) -> StreamingQuery:
@@ -110,16 +113,21 @@ class TrendStreams:
             sink = self.log(name, lambda df, _id: P.flag_history(df, channels, small))
             return self._start(name, P.window_channel_updates(parsed, w), sink, trigger)
         if name == "current_vs_historical_views":
-            hmax, havg = self._baseline()
+            base = self._baseline().select(F.struct("hist_max_views", "hist_avg_views").alias("b"))
             sink = self.log(name, lambda df, _id: df.select(
-                "*", F.lit(hmax).cast("double").alias("hist_max_views"),
-                F.lit(havg).cast("double").alias("hist_avg_views")))
+                "*", base.scalar().getField("hist_max_views").alias("hist_max_views"),
+                base.scalar().getField("hist_avg_views").alias("hist_avg_views")))
             return self._start(name, P.window_view_updates(parsed, w), sink, trigger)
         raise KeyError(name)
 
     def start_all(self, parsed: DataFrame, trigger: dict | None = None) -> list[StreamingQuery]:
         return [self.start(n, parsed, trigger) for n in NAMES]
 
+    def run(self, parsed: DataFrame, trigger: dict | None = None) -> None:
+        """Start all five queries and block until any of them stops (or fails)."""
+        self.start_all(parsed, trigger)
+        self.spark.streams.awaitAnyTermination()
+
     # reading the final tables ---------------------------------------------------------------
     def result(self, name: str) -> DataFrame:
         log = self.log(name).read(self.spark)
