@@ -9,9 +9,14 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most
-    ``max_rows + 1`` rows per partition to find out."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    An exact distributed count (partial counts per task, one number per task
+    shuffled): a ``limit(n + 1)`` probe would instead let every task ship up
+    to n + 1 rows into a single partition. Call it on the side that is to be
+    broadcast, already reduced (distinct keys), ideally materialised.
+    """
+    return df.count() <= max_rows
 
 
 def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner",
