@@ -31,3 +31,20 @@ def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner",
     if has_at_most(right, max_rows):
         return left.join(F.broadcast(right), on=on, how=how)
     return left.join(right, on=on, how=how)
+
+
+def overlap_with(df: DataFrame, keys, reference: DataFrame, flag: str = "in_reference",
+                 broadcast: bool | None = None,
+                 max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a boolean ``flag``: TRUE where its ``keys`` occur in
+    ``reference``, NULL otherwise (a left join to the distinct reference keys,
+    so ``df`` rows are never multiplied).
+
+    ``broadcast`` is the outcome of a size check made by the caller (for a
+    stream: once, at start); ``None`` checks ``has_at_most`` here.
+    """
+    cols = [keys] if isinstance(keys, str) else list(keys)
+    ref = reference.select(*cols).distinct().withColumn(flag, F.lit(True))
+    if broadcast is None:
+        broadcast = has_at_most(ref, max_rows)
+    return df.join(F.broadcast(ref) if broadcast else ref, cols, "left")

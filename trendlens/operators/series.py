@@ -43,11 +43,24 @@ def moving_average(df: DataFrame, value: str, order: str, rows: int,
 
 def period_delta(df: DataFrame, keys, order: str, value: str,
                  prev_value: str = "prev_value", prev_order: str | None = None,
-                 delta: str = "delta") -> DataFrame:
+                 delta: str = "delta", gap_days: int | None = None,
+                 bounds: tuple | None = None) -> DataFrame:
     """Previous row's ``value`` (and optionally ``order``) within ``keys`` and
-    the difference. Both lags share one window, so Spark sorts once."""
+    the difference. Both lags share one window, so Spark sorts once.
+
+    ``gap_days`` keeps only rows whose previous row lies exactly that many
+    days earlier (``order`` a date); ``bounds`` keeps deltas within
+    ``[low, high]``. Either filter drops the first row of every series.
+    """
     w = Window.partitionBy(*_list(keys)).orderBy(order)
+    prev_o = prev_order or "_prev_order"
     out = df.withColumn(prev_value, F.lag(value).over(w))
-    if prev_order:
-        out = out.withColumn(prev_order, F.lag(order).over(w))
-    return out.withColumn(delta, F.col(value) - F.col(prev_value))
+    if prev_order or gap_days is not None:
+        out = out.withColumn(prev_o, F.lag(order).over(w))
+    out = out.withColumn(delta, F.col(value) - F.col(prev_value))
+    if gap_days is not None:
+        out = out.where(F.col(prev_value).isNotNull()
+                        & (F.datediff(order, prev_o) == gap_days))
+    if bounds is not None:
+        out = out.where(F.col(delta).between(*bounds))
+    return out if prev_order else out.drop("_prev_order")

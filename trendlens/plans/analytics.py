@@ -70,12 +70,8 @@ def fastest_growth_videos(obs: DataFrame, k: int = 20, max_growth: int = MAX_DAI
     (item, region), within [0, ``max_growth``], per (item, title); top ``k``."""
     keys = ["video_id", "region_code"]
     daily = one_per_period(obs, keys, "trending_date", "view_count", carry=["title"])
-    lagged = period_delta(daily, keys, "trending_date", "view_count", prev_value="prev_views",
-                          prev_order="prev_date", delta="daily_views_growth")
-    growth = lagged.where(
-        F.col("prev_views").isNotNull()
-        & (F.datediff("trending_date", "prev_date") == 1)
-        & F.col("daily_views_growth").between(0, max_growth))
+    growth = period_delta(daily, keys, "trending_date", "view_count", prev_value="prev_views",
+                          delta="daily_views_growth", gap_days=1, bounds=(0, max_growth))
     best = growth.groupBy("video_id", "title").agg(
         F.max("daily_views_growth").alias("max_daily_views_growth"))
     return top_k(best, "max_daily_views_growth", k, ["video_id", "title"])

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from trendlens.functions.durations import LONG_EDGE_SECONDS, SHORT_EDGE_SECONDS
 from trendlens.functions.metrics import cents, half_up_hundredths
-from trendlens.operators.joins import DEFAULT_BROADCAST_ROWS, has_at_most
+from trendlens.operators.joins import DEFAULT_BROADCAST_ROWS, has_at_most, overlap_with
+from trendlens.operators.windows import windowed_agg
 from trendlens.operators.topk import top_k_with_ties
 from trendlens.plans.history import hist_channel_ids, views_baseline
 
@@ -33,12 +34,10 @@ def _labels(*extra) -> list:
 def duration_distribution(parsed: DataFrame, window: str = DEFAULT_WINDOW) -> DataFrame:
     """Per window: items under 4 min, in [4, 20) min, and 20 min or more."""
     d = F.col("duration_sec")
-    return (parsed.groupBy(_window(window)).agg(
+    return windowed_agg(parsed, "event_time", window, aggs=[
         F.count_if(d < SHORT_EDGE_SECONDS).alias("short_videos_count"),
         F.count_if((d >= SHORT_EDGE_SECONDS) & (d < LONG_EDGE_SECONDS)).alias("medium_videos_count"),
-        F.count_if(d >= LONG_EDGE_SECONDS).alias("long_videos_count"))
-        .select("short_videos_count", "medium_videos_count", "long_videos_count",
-                *_labels(F.col("window.end").cast("string").alias("window_end"))))
+        F.count_if(d >= LONG_EDGE_SECONDS).alias("long_videos_count")])
 
 
 # S2 ---------------------------------------------------------------------------------------
@@ -94,10 +93,7 @@ def window_channel_updates(parsed: DataFrame, window: str = DEFAULT_WINDOW) -> D
 def flag_history(keyed: DataFrame, hist_channels: DataFrame, broadcast: bool) -> DataFrame:
     """Left join of (window, channel) keys to the distinct history channels.
     ``broadcast`` must come from a size check of ``hist_channels``."""
-    flags = hist_channels.select("channel_id").withColumn("in_hist", F.lit(True))
-    if broadcast:
-        flags = F.broadcast(flags)
-    return keyed.join(flags, "channel_id", "left")
+    return overlap_with(keyed, "channel_id", hist_channels, flag="in_hist", broadcast=broadcast)
 
 
 def overlap_summary(flagged: DataFrame) -> DataFrame:
@@ -124,11 +120,10 @@ def historical_overlap(parsed: DataFrame, hist: DataFrame, window: str = DEFAULT
 def window_view_updates(parsed: DataFrame, window: str = DEFAULT_WINDOW) -> DataFrame:
     """Per window: max views, and the exact pieces of the average."""
     v = F.col("view_count")
-    return (parsed.groupBy(_window(window)).agg(
+    return windowed_agg(parsed, "event_time", window, aggs=[
         F.max(v).alias("current_max_views"),
         F.sum(cents(v)).alias("sum_cents"),
-        F.count(v).alias("n_views"))
-        .select(*_labels(), "current_max_views", "sum_cents", "n_views"))
+        F.count(v).alias("n_views")]).drop("window_end")
 
 
 def finish_window_views(updates: DataFrame, hist_max: Column, hist_avg: Column) -> DataFrame:
