@@ -10,6 +10,8 @@ processors on the same input.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -66,7 +68,7 @@ class TrendStreams:
         trig = trigger if trigger is not None else {"processingTime": TRIGGERS[name]}
         writer = (updates.writeStream.outputMode("update").foreachBatch(sink)
                   .option("checkpointLocation", f"{self.root}/checkpoints/{name}")
-                  .queryName(f"{name}_{abs(hash(self.root)) % 10**8}")
+                  .queryName(f"{name}_{zlib.crc32(self.root.encode()):08x}")
                   .trigger(**trig))
         if self.state_partitions is None:
             return writer.start()
