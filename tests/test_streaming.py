@@ -57,6 +57,18 @@ def test_each_stream_equals_batch_and_is_chunking_invariant(spark):
         assert _rows(_replay(spark, name, 3, compact_every=2)) == want, name
 
 
+def test_freshness_by_arrival_equals_earliest_on_ordered_input(spark):
+    want = _rows(_batch(spark, "trending_freshness"))
+    root = shared_dir(spark, "test-arrival", fresh=True)
+    land_as_stream(stream_messages(spark, SF), f"{root}/input", 3)
+    app = TrendStreams(spark, root, window=W, freshness="arrival")
+    app.start("trending_freshness", parse_messages(replay_stream(spark, f"{root}/input")),
+              trigger={"availableNow": True}).awaitTermination()
+    assert _rows(app.result("trending_freshness")) == want
+    logged = app.log("trending_freshness").read(spark)
+    assert logged.count() == logged.select("video_id").distinct().count()  # one row per item
+
+
 def test_batch_log_compaction(spark):
     from trendlens.streaming.sinks import fold_per_key
     root = shared_dir(spark, "test-compact", fresh=True)

@@ -46,11 +46,19 @@ class TrendStreams:
     def __init__(self, spark: SparkSession, root: str, history: DataFrame | None = None,
                  window: str = P.DEFAULT_WINDOW, reach_k: int = P.DEFAULT_REACH_K,
                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 state_partitions: int | None = None, compact_every: int | None = 50):
+                 state_partitions: int | None = None, compact_every: int | None = 50,
+                 freshness: str = "earliest"):
         """``state_partitions`` fixes the number of state-store partitions of
         every query (size it to the key volume: it cannot change once a
         checkpoint exists); ``None`` takes the session's shuffle setting.
-        ``compact_every`` batches each sink folds its log into a snapshot."""
+        ``compact_every`` batches each sink folds its log into a snapshot.
+        ``freshness`` picks the first-seen state of S3: ``"earliest"`` (minimum
+        event time per item, order-independent; every batch re-emits the items
+        it touched) or ``"arrival"`` (first message per item via streaming
+        deduplication; each item is emitted once; equal for in-order input)."""
+        if freshness not in ("earliest", "arrival"):
+            raise ValueError("freshness must be 'earliest' or 'arrival'")
+        self.freshness = freshness
         self.spark = spark
         self.state_partitions = state_partitions
         self.compact_every = compact_every
@@ -109,7 +117,8 @@ class TrendStreams:
         if name == "channel_regional_reach":
             return self._start(name, P.channel_reach_updates(parsed, w), self.log(name), trigger)
         if name == "trending_freshness":
-            return self._start(name, P.first_seen(parsed), self.log(name), trigger)
+            seen = P.first_seen(parsed) if self.freshness == "earliest" else P.first_arrival(parsed)
+            return self._start(name, seen, self.log(name), trigger)
         if name == "historical_overlap":
             channels, small = self._hist_channels()
             sink = self.log(name, lambda df, _id: P.flag_history(df, channels, small))

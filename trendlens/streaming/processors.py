@@ -70,6 +70,15 @@ def first_seen(parsed: DataFrame, key: str = "video_id", time: str = "event_time
             .groupBy(key).agg(F.min(time).alias("first_seen")))
 
 
+def first_arrival(parsed: DataFrame, key: str = "video_id", time: str = "event_time") -> DataFrame:
+    """The first message per key in arrival order (streaming deduplication,
+    state kept for every key ever seen). Each key leaves the operator exactly
+    once, so a sink logs O(distinct keys); equals ``first_seen`` when the
+    input arrives in event-time order."""
+    return (parsed.where(F.col(key).isNotNull()).dropDuplicates([key])
+            .select(key, F.col(time).alias("first_seen")))
+
+
 def fresh_counts(seen: DataFrame, window: str = DEFAULT_WINDOW) -> DataFrame:
     """Number of keys whose first sighting falls in each window."""
     return (seen.groupBy(_window(window, "first_seen"))
