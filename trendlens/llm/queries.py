@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trendlens.llm import chat, lines, quality
+from trendlens.llm import chat, decontaminate, lines, quality, secrets, tokens, urls
 from trendlens.llm.common import read
 
 # Fixed value: the added conversation -1 says this in both turns.
@@ -25,6 +25,30 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("broken_rules", ",").alias("broken_rules"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                               read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", decontaminate.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"))
+
+
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages").select("page_id", "url")).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat, manifest = tokens.write_files(read(spark, sf_dir, "documents"))
+    return tokens.scan(flat).filter("closed").join(manifest, ["file", "ordinal"]).select("doc_id", "n_tokens")
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.digest(secrets.scan(docs, secrets.train(docs)))
+
+
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
@@ -32,11 +56,13 @@ def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_chat": op2_chat,
     "op4_quality": op4_quality,
+    "op5_decontaminate": op5_decontaminate,
     "op6_lines": op6_lines,
+    "op7_urls": op7_urls,
+    "op8_tokens": op8_tokens,
+    "op9_secrets": op9_secrets,
 }
 
-_TURN = "chr(10)"
-
 ORACLE = {
     "op2_chat": r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -87,6 +113,37 @@ j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND broken_rules = '' AS kept, broken_rules FROM j
 """.replace("{stops}", ", ".join(f"'{w}'" for w in sorted({w for row in quality.STOP_WORDS for w in row.split()}))),
+    "op5_decontaminate": r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM
+    (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM
+    (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM t, (SELECT DISTINCT n FROM bw))),
+h AS (SELECT doc_id, item_id, i, dw.n FROM dw JOIN bw USING (n, g)),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY 1),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+    FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY 1)
+SELECT t.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM t LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)
+""",
+    "op7_urls": r"""
+WITH u AS (SELECT page_id, regexp_extract(coalesce(url, ''), '^.*?://([^?#]*)', 1, 's') AS rest FROM pages),
+p AS (SELECT page_id, translate(split_part(rest, '/', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+    AS host, substr(rest, length(split_part(rest, '/', 1)) + 1) AS path FROM u),
+r AS (SELECT * FROM (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')) v(rh, rp, rv)),
+f AS (SELECT page_id, rh || rp AS rule, rv, row_number() OVER
+    (PARTITION BY page_id ORDER BY length(rh || rp) DESC, rv DESC) AS k
+    FROM p JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)),
+b AS (SELECT l || '.example.' || t AS bh FROM (SELECT unnest([{labels}]) AS l), (SELECT unnest(['com', 'net', 'org']) AS t)),
+x AS (SELECT DISTINCT page_id FROM p JOIN b ON host = bh OR ends_with(host, '.' || bh))
+SELECT p.page_id, host, path, rule, coalesce(rv, CASE WHEN x.page_id IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN (SELECT * FROM f WHERE k = 1) f USING (page_id) LEFT JOIN x ON p.page_id = x.page_id
+""".replace("{labels}", ", ".join(f"'{x}'" for x in urls.BLOCKED_LABELS)),
     "op6_lines": r"""
 WITH d AS (SELECT doc_id, source, text, coalesce(source, '') AS host,
     string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
