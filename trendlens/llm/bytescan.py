@@ -25,6 +25,27 @@ def flat(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+# Bytes of words in lower case: digits, a-z and non-ASCII; others separate.
+LOWER_WORDS = np.zeros(256, np.uint8)
+for _b in [*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]:
+    LOWER_WORDS[_b] = _b
+LOWER_WORDS[0x41:0x5B] = np.arange(0x61, 0x7B)
+
+PIECE_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
+
+
+def pieces(batch: pa.RecordBatch, text: int | str, max_bytes: int = PIECE_BYTES):
+    """The batch in row slices of at most ``max_bytes`` of text (one row at
+    least), so that working arrays stay small."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(sizes) // max_bytes
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix)."""
     x = x.astype(np.uint64, copy=True)
@@ -55,18 +76,24 @@ def word_spans(mapped: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def word_hashes(mapped: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word, by its bytes."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+    """A 64-bit hash of each word, by its bytes; made in blocks of words."""
+    out = np.zeros(len(starts), np.uint64)
     lens = ends - starts
-    compact = np.zeros(len(starts), np.int64)
-    np.cumsum(lens[:-1], out=compact[1:])
-    letters = mapped[mapped != 0]
-    place = np.arange(len(letters)) - np.repeat(compact, lens)
-    powers = np.full(int(lens.max()), BASE, np.uint64)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    return mix(np.add.reduceat(BYTE_KEYS[letters] * powers[place], compact) ^ lens.astype(np.uint64))
+    block = np.cumsum(lens) // BLOCK_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(starts)]
+    for a, b in zip(cuts, cuts[1:]):
+        if a == b:
+            continue
+        text, n = mapped[starts[a]:ends[b - 1]], lens[a:b]
+        compact = np.zeros(b - a, np.int64)
+        np.cumsum(n[:-1], out=compact[1:])
+        letters = text[text != 0]
+        place = np.arange(len(letters)) - np.repeat(compact, n)
+        powers = np.full(int(n.max()), BASE, np.uint64)
+        powers[0] = 1
+        powers = np.multiply.accumulate(powers)
+        out[a:b] = mix(np.add.reduceat(BYTE_KEYS[letters] * powers[place], compact) ^ n.astype(np.uint64))
+    return out
 
 
 def window_hashes(words: np.ndarray, n: int) -> np.ndarray:

@@ -31,10 +31,7 @@ WINDOW = 10
 SLICE_BYTES = 16 << 20
 
 # The bytes of words; A-Z become a-z, all others separate.
-_MAP = np.zeros(256, np.uint8)
-for _b in [*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]:
-    _MAP[_b] = _b
-_MAP[0x41:0x5B] = np.arange(0x61, 0x7B)
+_MAP = bytescan.LOWER_WORDS
 
 HIT = StructType([StructField(c, LongType()) for c in ("first", "last", "start", "stop")])
 FOUND = [StructField("n_words", LongType()), StructField("hits", ArrayType(HIT)),
@@ -114,7 +111,7 @@ def _pass(docs: DataFrame, items: list[tuple[str, str]], n: int, text: str, sche
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(shared.value, n)
-        for batch in batches:
+        for batch in (p for b in batches for p in bytescan.pieces(b, text)):
             counts, hits, found = windows.probe(batch.column(text))
             cols = dict(zip(batch.schema.names, batch.columns))
             if "hits" in cols:  # of earlier slices

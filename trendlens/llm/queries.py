@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trendlens.llm import chat, decontaminate, lines, quality, secrets, tokens, urls
+from trendlens.llm import chat, decontaminate, lines, minhash, quality, secrets, tokens, urls
 from trendlens.llm.common import read
 
 # Fixed value: the added conversation -1 says this in both turns.
@@ -19,6 +19,10 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.read_back(chat.render(chat.fold(log))))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(read(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -55,6 +59,7 @@ def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_chat": op2_chat,
+    "op3_minhash": op3_minhash,
     "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
     "op6_lines": op6_lines,
