@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trendlens.llm import chat, decontaminate, lines, minhash, quality, secrets, tokens, urls
+from trendlens.llm import chat, decontaminate, lines, minhash, pieces, quality, secrets, tokens, urls
 from trendlens.llm.common import read
 
 # Fixed value: the added conversation -1 says this in both turns.
@@ -53,6 +53,16 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(docs, secrets.train(docs)))
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.Model.load()
+    back = pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), model), model)
+    return back.select(
+        "doc_id", F.size(F.coalesce("pieces", F.array())).cast("long").alias("n_pieces"),
+        F.sha2(F.array_join(F.col("pieces").cast("array<string>"), ","), 256).alias("pieces_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+        F.sha2("text", 256).eqNullSafe(F.col("text_sha256")).alias("round_trip"))
+
+
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
@@ -66,6 +76,7 @@ QUERIES = {
     "op7_urls": op7_urls,
     "op8_tokens": op8_tokens,
     "op9_secrets": op9_secrets,
+    "op10_pieces": op10_pieces,
 }
 
 ORACLE = {
