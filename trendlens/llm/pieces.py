@@ -35,14 +35,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from trendlens.llm.chunks import packed as _packed, texts as _texts
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 LONGEST = 48
-CHUNK_BYTES = 8 << 20
 _LETTER = r"[^\W\d_{not_letters}]"
 
 
@@ -96,47 +95,6 @@ def prepared(text: str) -> str:
     return SPACE + text.replace(" ", SPACE) if text else ""
 
 
-def _packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(chunk, ids, sizes, texts): texts dealt to chunks, compressed. A size of
-    -1 is a NULL text. A chunk is bounded but for a single longer text."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 32
-        press = zstandard.ZstdCompressor(level=1)
-        ids: list[int] = []
-        texts: list[bytes | None] = []
-        size = 0
-
-        def row():
-            return pa.RecordBatch.from_arrays([
-                pa.array([chunk], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                pa.array([[-1 if t is None else len(t) for t in texts]], pa.list_(pa.int32())),
-                pa.array([press.compress(b"".join(t or b"" for t in texts))], pa.binary())],
-                names=["chunk", "ids", "sizes", "texts"])
-
-        for batch in batches:
-            column = batch.column(1).cast(pa.large_binary())
-            for i in range(batch.num_rows):
-                text = column[i].as_py()
-                if size and size + len(text or b"") > CHUNK_BYTES:
-                    yield row()
-                    chunk, ids, texts, size = chunk + 1, [], [], 0
-                ids.append(batch.column(0)[i].as_py())
-                texts.append(text)
-                size += len(text or b"")
-        if ids:
-            yield row()
-
-    return docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")).mapInArrow(
-        run, "chunk long, ids array<long>, sizes array<int>, texts binary").repartition("chunk")
-
-
-def _texts(sizes: list[int], blob: bytes) -> Iterator[str | None]:
-    data, at = zstandard.ZstdDecompressor().decompress(blob), 0
-    for n in sizes:
-        yield None if n < 0 else data[at:at + n].decode()
-        at += max(n, 0)
-
-
 def _words(packed: DataFrame, pattern: str) -> DataFrame:
     """(chunk, word): the different words of each chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +103,7 @@ def _words(packed: DataFrame, pattern: str) -> DataFrame:
             for chunk, sizes, blob in zip(*(batch.column(c).to_pylist() for c in ("chunk", "sizes", "texts"))):
                 words: set[str] = set()
                 for text in _texts(sizes, blob):
-                    words.update(find(prepared(text or "")))
+                    words.update(find(prepared((text or b"").decode())))
                 found = [w for w in words if 1 < len(w) <= LONGEST]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([chunk] * len(found), pa.int64()), pa.array(found, pa.string())], names=["chunk", "word"])
@@ -303,7 +261,8 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         out_ids, cells, digests, sizes = [], [], [], [0]
         for row_ids, row_sizes, blob in zip(*(chunk.column(c).to_pylist() for c in ("ids", "sizes", "texts"))):
             out_ids += row_ids
-            for text in _texts(row_sizes, blob):
+            for raw in _texts(row_sizes, blob):
+                text = None if raw is None else raw.decode()
                 cell = b"".join(map(lookup, find(prepared(text)))) if text is not None else None
                 cells.append(cell)
                 sizes.append(sizes[-1] + len(cell or b"") // 4)

@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trendlens.llm import chat, decontaminate, lines, minhash, pieces, quality, secrets, tokens, urls
+from trendlens.llm import chat, decontaminate, lines, minhash, pieces, quality, secrets, suffix, tokens, urls
 from trendlens.llm.common import read
 
 # Fixed value: the added conversation -1 says this in both turns.
 PROBE = "</s>[INST] ok [/INST]"
 
 
+def op1_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix.remove_repeats(read(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["stop"] - x["start"])
+    return left.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)],
@@ -68,6 +75,7 @@ def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix": op1_suffix,
     "op2_chat": op2_chat,
     "op3_minhash": op3_minhash,
     "op4_quality": op4_quality,
