@@ -1,0 +1,40 @@
+import re
+
+from trendlens.llm import decontaminate as D
+
+BENCH = "item_id long, text string"
+ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+
+
+def bench(spark):
+    return spark.createDataFrame([(1, ITEM), (12, "tiny item"), (2, None), (3, " ,;"), (None, "odd one out here")], BENCH)
+
+
+def test_windows_spans_and_items(spark):
+    rows = [(1, f"Start, {ITEM.upper().replace(' ', '-')}! end"), (2, "no such words"), (3, None), (4, ""),
+            (5, "a tiny  ITEM, and a TINY.item"), (6, "alpha beta gamma delta epsilon zeta eta theta iota other kappa"),
+            (7, "odd one out here"), (8, "x " * 5000 + "tiny item")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("hits", D.F.lit(1))
+    for size in (1 << 20, 30):  # one slice, and several
+        got = {r.doc_id: r for r in D.find(docs, bench(spark), slice_bytes=size).collect()}
+        assert (got[1].n_words, [(h.first, h.last) for h in got[1].hits], got[1]["items"]) == (14, [(1, 13)], ["1"])
+        assert [(h.first, h.last) for h in got[5].hits] == [(1, 3), (5, 7)] and got[5]["items"] == ["12"]
+        assert not got[6].hits and not got[2].hits and got[3].n_words == 0 and got[4].n_words == 0
+        assert got[7]["items"] == ["null"] and got[8].n_words == 5002 and len(got[8].hits) == 1
+    clean = {r.doc_id: r.text for r in D.cut(D.find(docs, bench(spark))).collect()}
+    assert clean[1] == "Start, ! end" and clean[5] == "a , and a " and clean[2] == "no such words" and clean[3] is None
+    assert sorted(r.doc_id for r in D.remove(docs, bench(spark), "document").collect()) == [2, 3, 4, 6]
+    assert sorted(r.doc_id for r in D.remove(docs, bench(spark)).collect()) == [2, 3, 4, 6, 8]
+
+
+def test_words_never_join_over_texts(spark):
+    docs = spark.createDataFrame([(1, "tiny"), (2, "item"), (3, "tiny item")], "doc_id long, text string").coalesce(1)
+    assert [r.doc_id for r in D.find(docs, bench(spark)).filter("size(hits) > 0").collect()] == [3]
+
+
+def test_empty_tables(spark, awkward, nothing):
+    assert D.find(nothing, bench(spark)).count() == 0
+    assert D.find(awkward, bench(spark).limit(0)).filter("size(hits) > 0").count() == 0
+    found = D.find(awkward, bench(spark))
+    words = {r.doc_id: len(re.findall(rb"[0-9A-Za-z\x80-\xff]+", (r.text or "").encode())) for r in awkward.collect()}
+    assert {r.doc_id: r.n_words for r in found.collect()} == words

@@ -1,0 +1,85 @@
+import collections
+import re
+
+import pyarrow as pa
+
+from trendlens.llm import minhash
+from trendlens.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+
+
+def bag(text):
+    raw = bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode())
+    w = WORD.findall(raw)
+    return collections.Counter(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) if w else None
+
+
+def similarity(a, b):
+    both = sum((a & b).values())
+    return both / (sum(a.values()) + sum(b.values()) - both)
+
+
+def brute(docs):
+    """Classes by exact similarity of all pairs that share a shingle."""
+    bags = {i: b for i, t in docs.items() if (b := bag(t))}
+    holders = collections.defaultdict(list)
+    for i, b in bags.items():
+        for s in b:
+            holders[s].append(i)
+    parent = {i: i for i in docs}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, b in bags.items():
+        for j in {j for s in b for j in holders[s] if j < i}:
+            if similarity(b, bags[j]) >= 0.8:
+                a, c = root(i), root(j)
+                parent[max(a, c)] = min(a, c)
+    return {i: root(i) for i in docs}
+
+
+def test_classes_equal_brute_force(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = {r.doc_id: r.class_id for r in QUERIES["op3_minhash"](spark, SF).collect()}
+    assert got == brute(docs)
+
+
+def test_awkward_rows(spark, awkward):
+    got = {r.doc_id: r.class_id for r in minhash.classes(awkward).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 1, 8: 8, 9: 9, 10: 10}
+    kept = minhash.keep_first(awkward)
+    assert kept.columns == awkward.columns
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 8, 9, 10]
+
+
+def test_empty_table(spark, nothing):
+    assert minhash.classes(nothing).count() == 0
+
+
+def test_a_group_is_not_expanded_into_pairs(spark):
+    """300 near copies of one text: links grow with the group, not its square."""
+    base = [f"word{i}" for i in range(120)]
+    rows = [(k, " ".join(base[:k % 110] + [f"z{k}"] + base[k % 110 + 1:])) for k in range(300)]
+    sigs = minhash.signatures(spark.createDataFrame(rows, "doc_id long, text string"))
+    pairs = minhash.candidates(sigs.select("doc_id", "bands", "code"))
+    assert pairs.count() < 300 * minhash.BANDS
+    found = minhash.classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found.select("class_id").distinct().count() == 1
+
+
+def test_agreement_estimates_weighted_similarity():
+    a = " ".join(f"t{i}" for i in range(400))
+    b = " ".join(f"t{i}" if i % 50 else f"u{i}" for i in range(400))
+    c = a + " " + " ".join(["again and again and again"] * 60)  # heavy repeats change the weights
+    t, h, _ = minhash.shingles(pa.array([a, b, c]))
+    sig = minhash.darts(t, h, 3, coords=4000)
+    bags = [bag(x) for x in (a, b, c)]
+    for i, j in ((0, 1), (0, 2), (1, 2)):
+        assert abs((sig[i] == sig[j]).mean() - similarity(bags[i], bags[j])) < 0.04
+    exact = minhash.similarity(pa.array([a, a, b]), pa.array([b, c, c]))
+    assert [round(x, 9) for x in exact] == [round(similarity(bags[i], bags[j]), 9) for i, j in ((0, 1), (0, 2), (1, 2))]

@@ -1,0 +1,96 @@
+"""The whole pipeline against a plain Python version of its stages."""
+
+import collections
+import re
+
+import corpus_pipeline
+from test_minhash import brute as classes
+from test_quality import repeat_words
+from trendlens.llm import quality
+
+SF = "/root/testdata/sf0.001"
+
+
+def good(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n = len(words)
+    if n < 50 or 100 * repeat_words(words) > 50 * n or n > 100_000:
+        return False
+    stops = {w for row in quality.STOP_WORDS for w in row.split()}
+    return (2 <= sum(map(len, words)) / n <= 12 and len(re.findall(r"[#*$%&|<>]", text)) / n <= 0.1
+            and len(stops & set(text.lower().split(" "))) >= 2 and (len(lines) - len(set(lines))) / len(lines) <= 0.5
+            and sum(x.endswith(("...", "…")) for x in lines) / len(lines) <= 0.3
+            and sum(bool(re.match(r"\s*[-*•]", x)) for x in lines) / len(lines) <= 0.9
+            and len(re.findall(r"!!(?=\s|$)", text)) / n <= 0.2)
+
+
+def without_boilerplate(docs):
+    pages, holders = collections.Counter(), collections.Counter()
+    for _, source, text in docs:
+        pages[source] += 1
+        holders.update({(source, x) for x in text.split("\n") if x.strip()})
+    bad = {k for k, n in holders.items() if n >= 10 and n > 0.05 * pages[k[0]]}
+    return [(i, s, "\n".join(x for x in t.split("\n") if not x.strip() or (s, x) not in bad)) for i, s, t in docs]
+
+
+def words_of(text):
+    raw = bytes(c + 32 if 65 <= c <= 90 else c for c in text.encode())
+    return [(m[0], m.start(), m.end()) for m in re.finditer(rb"[0-9a-z\x80-\xff]+", raw)]
+
+
+def decontaminated(docs, items):
+    windows = set()
+    for t in items:
+        w = [x[0] for x in words_of(t)]
+        windows |= {tuple(w[i:i + 10]) for i in range(max(1, len(w) - 9))} if w else set()
+    out = []
+    for i, s, t in docs:
+        w = words_of(t)
+        hit = [False] * len(w)
+        for n in {len(x) for x in windows}:
+            for k in range(len(w) - n + 1):
+                if tuple(x[0] for x in w[k:k + n]) in windows:
+                    hit[k:k + n] = [True] * n
+        if sum(hit) > 0.5 * len(w):
+            continue
+        raw, at, parts, k = t.encode(), 0, [], 0
+        while k < len(w):
+            if hit[k]:
+                end = k
+                while end + 1 < len(w) and hit[end + 1]:
+                    end += 1
+                parts.append(raw[at:w[k][1]])
+                at = w[end][2]
+                k = end
+            k += 1
+        out.append((i, (b"".join(parts) + raw[at:]).decode()))
+    return out
+
+
+def test_stages_equal_plain_python(spark):
+    docs = [(r.doc_id, r.source, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    docs = without_boilerplate([d for d in docs if good(d[2])])
+    own = classes({i: t for i, _, t in docs})
+    items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    expect = decontaminated([d for d in docs if own[d[0]] == d[0]], items)
+    got = corpus_pipeline.run(spark, SF)
+    assert got.columns == ["doc_id", "text", "n_pieces", "pieces"]
+    assert {r.doc_id: r.text for r in got.collect()} == dict(expect)
+
+
+def test_stages_keep_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.dtypes == docs.dtypes
+        assert out.filter("n_chars <> length(text)").count() == 0
+
+
+def test_empty_and_null_documents(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    rows = spark.createDataFrame([(1, None, None, None, None), (None, "", "en", "a", 0)], schema)
+    for docs in (rows.limit(0), rows):
+        for _, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, SF)
+        assert docs.count() == 0

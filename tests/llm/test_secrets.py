@@ -1,0 +1,65 @@
+import hashlib
+import re
+
+from trendlens.llm import secrets
+from trendlens.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
+
+
+def base(text):
+    out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(out)
+
+
+def test_query_equals_patterns(spark):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in QUERIES["op9_secrets"](spark, SF).collect():
+        spans = base(docs[r.doc_id])
+        joined = ",".join(f"{secrets.KINDS[k]}:{a}:{z}" for a, k, z in spans)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(s[1] == k for s in spans) for k in range(3)]
+        assert set(joined.split(",")) <= set(r.spans.split(","))
+
+
+def test_places_in_odd_texts(spark):
+    texts = ["é中 PassWord = 'abcdefgh' x", "api_key:short token=longenough1", "AKIA" + "A" * 12, "AKIA" + "A" * 11,
+             "a" * 40 + "é" + "0" * 31, "", None, "token" * 3 + "=" + "q" * 20 + " secret: '' ", "password=password=12345678",
+             'Token": "deadbeefdeadbeefdeadbeefdeadbeef"', "apikey=abc.def.ghi/" + "f" * 40]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("base", secrets.F.lit(1))
+    got = {r.doc_id: r for r in secrets.scan(df, [0.0] * secrets.CODES ** 2).collect()}
+    for i, t in enumerate(texts):
+        assert sorted((s.start, s.kind, s.stop) for s in got[i].base) == base(t or ""), t
+        assert got[i].extra == []
+
+
+def test_models_tell_random_from_ordinary(spark):
+    import random
+
+    rng = random.Random(3)
+    key = lambda: "".join(rng.choice("0123456789abcdefXYZGHKLqwrty") for _ in range(40))
+    names = ["get_user_account", "parse-request-body", "settings_for_table", "window_manager_state", "open_file_handle"]
+    rows = [(i, f"token = {key()} and {rng.choice(names)} of {rng.choice(names)}") for i in range(300)]
+    held = [key() for _ in range(40)]
+    rows += [(1000 + i, f"see {k} there") for i, k in enumerate(held)]
+    rows += [(2000 + i, f"call {a}_{b} now") for i, (a, b) in enumerate((a, b) for a in names for b in names)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    table = secrets.train(df.filter("doc_id < 1000"))
+    got = {r.doc_id: r for r in secrets.scan(df, table).collect()}
+    assert sum(len(got[1000 + i].extra) for i in range(40)) >= 38
+    assert sum(len(got[2000 + i].extra) for i in range(25)) == 0
+    clean = secrets.redact(secrets.scan(df, table)).filter("doc_id = 0").first().text
+    assert clean.startswith("[SECRET] and ")
+
+
+def test_awkward_empty_and_native(spark, awkward, nothing):
+    table = secrets.train(nothing)
+    assert set(table) == {0.0}
+    found = secrets.scan(awkward, table)
+    assert secrets.digest(found).count() == awkward.count()
+    assert secrets.scan(nothing, table).count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trendlens.llm import bytescan
 from trendlens.llm.bytescan import mix
@@ -281,9 +281,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each class (that of the lowest doc_id), with all columns.
-    Rows without a doc_id stay."""
-    docs = written(docs, "minhash-input") if not docs.inputFiles() else docs
+    """One row of each class (that of the lowest doc_id; of several such rows,
+    the first by text), with all columns. Rows without a doc_id stay."""
     first = classes(docs, id_col, text).filter("doc_id = class_id").select(F.col("doc_id").alias("_kept"))
-    kept = docs.join(first, docs[id_col].cast("long") == first["_kept"], "left_semi").dropDuplicates([id_col])
+    kept = docs.join(first, docs[id_col].cast("long") == first["_kept"], "left_semi")
+    if not docs.groupBy(id_col).count().filter((F.col("count") > 1) & docs[id_col].isNotNull()).isEmpty():
+        by = Window.partitionBy(docs[id_col]).orderBy(docs[text])
+        kept = kept.withColumn("_nth", F.row_number().over(by)).filter("_nth = 1").drop("_nth")
     return kept.unionByName(docs.filter(docs[id_col].isNull()))
