@@ -122,3 +122,14 @@ def test_pruned_pairs_equal_unpruned(spark, tag_lists, min_videos, distinct):
     a = sorted(tuple(r) for r in plans.top_tag_combinations(df, prune=True, **kw).collect())
     b = sorted(tuple(r) for r in plans.top_tag_combinations(df, prune=False, **kw).collect())
     assert a == b
+
+
+def test_pairs_ignore_rows_without_an_item(spark):
+    from trendlens import plans
+    from trendlens.sources import observations
+    obs = observations(spark, "/root/testdata/sf0.001")
+    want = plans.top_tag_combinations(obs, region="ASIA", min_videos=1).collect()
+    lost = obs.limit(50).selectExpr(*[("cast(null as string) as video_id" if c == "video_id" else
+                                       "'p|q' as tags" if c == "tags" else
+                                       "'ASIA' as region_code" if c == "region_code" else c) for c in obs.columns])
+    assert plans.top_tag_combinations(obs.unionByName(lost), region="ASIA", min_videos=1).collect() == want

@@ -16,3 +16,28 @@ def test_prepare_then_query(spark):
     assert out.columns == ["tag", "number_of_videos"] and out.count() == 20
     main(["query", "view_count_change_per_day", f"{d}/obs", f"{d}/vc", "--region", "ASIA"], spark=spark)
     assert spark.read.parquet(f"{d}/vc").count() > 0
+
+
+def test_stream_then_publish(spark):
+    from trendlens.sources import land_as_stream, stream_messages
+    from trendlens.streaming import NAMES, PublishedTable, parse_messages
+    from trendlens.streaming import processors as S
+
+    d = tempfile.mkdtemp(prefix="cli-stream-")
+    sf = "/root/testdata/sf0.001"
+    land_as_stream(stream_messages(spark, sf), f"{d}/input", 2)
+    main(["stream", "--root", f"{d}/root", "--files", f"{d}/input", "--window", "1 hour", "--drain",
+          "--state-partitions", "2"], spark=spark)
+    for name in NAMES:
+        main(["publish", name, "--root", f"{d}/root", "--window", "1 hour"], spark=spark)
+    main(["publish", NAMES[0], "--root", f"{d}/root", "--window", "1 hour"], spark=spark)
+    main(["publish", NAMES[0], "--root", f"{d}/root", "--window", "1 hour"], spark=spark)
+    versions = [n for n in os.listdir(f"{d}/root/published/{NAMES[0]}") if n.startswith("v=")]
+    assert len(versions) == 2  # the current one and the one before
+    msgs = parse_messages(stream_messages(spark, sf))
+    want = {"duration_distribution": S.duration_distribution(msgs, "1 hour"),
+            "channel_regional_reach": S.channel_regional_reach(msgs, "1 hour"),
+            "trending_freshness": S.trending_freshness(msgs, "1 hour")}
+    for name, df in want.items():
+        got = PublishedTable(f"{d}/root/published/{name}").read(spark)
+        assert sorted(map(tuple, got.select(df.columns).collect())) == sorted(map(tuple, df.collect())), name

@@ -3,8 +3,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from trendlens.operators import (
-    has_at_most,
-    join_small,
     overlap_with,
     period_delta,
     windowed_agg,
@@ -34,23 +32,11 @@ def test_windowed_agg_tumbling_and_sliding(spark):
 def test_overlap_with_flags_without_multiplying(spark):
     left = spark.createDataFrame([("w1", "a"), ("w1", "b"), ("w2", "a")], "w string, c string")
     ref = spark.createDataFrame([("a",), ("a",), ("z",)], "c string")
-    for bc in (True, False, None):
+    for bc in (True, False):
         got = sorted((r["w"], r["c"], r["flag"]) for r in overlap_with(left, "c", ref, "flag", bc).collect())
         assert got == [("w1", "a", True), ("w1", "b", None), ("w2", "a", True)]
 
 
-def test_size_checked_join(spark):
-    small = spark.createDataFrame([(1, "x")], "k int, v string")
-    big = spark.range(10).withColumnRenamed("id", "k").withColumn("k", F.col("k").cast("int"))
-    assert has_at_most(small, 1) and not has_at_most(big, 5)
-    joined = join_small(big, small, "k", max_rows=5)
-    assert "strategy=broadcast" in joined._jdf.queryExecution().analyzed().toString()
-    assert joined.count() == 1
-    unhinted = join_small(small, big, "k", max_rows=5)
-    assert "strategy=broadcast" not in unhinted._jdf.queryExecution().analyzed().toString()
-    assert unhinted.count() == 1
-
-
 def test_period_delta_gap_and_bounds(spark):
     rows = [("a", dt.date(2026, 1, d), v) for d, v in [(1, 10), (2, 15), (4, 30), (5, 20)]]
     df = spark.createDataFrame(rows, "k string, d date, v bigint")

@@ -40,18 +40,22 @@ def test_tags_read_one_column(spark):
     assert "ReadSchema: struct<tags:string>" in text
 
 
-def test_overlap_broadcasts_checked_history(spark):
-    from trendlens.sources import stream_history, stream_messages
-    from trendlens.streaming import parse_messages
-    msgs = parse_messages(stream_messages(spark, SF))
-    df = S.historical_overlap(msgs, stream_history(spark, SF), "1 hour")
-    assert "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
-    assert "BroadcastHashJoin" in df._jdf.queryExecution().sparkPlan().toString()
-    # over the bound: no explicit broadcast hint, the planner decides
-    df2 = S.historical_overlap(msgs, stream_history(spark, SF), "1 hour", max_broadcast_rows=1)
-    assert "strategy=broadcast" not in df2._jdf.queryExecution().analyzed().toString()
-    rows = sorted(tuple(r) for r in df.collect())
-    assert rows == sorted(tuple(r) for r in df2.collect())
+def test_pairs_sort_each_item_once(spark):
+    from trendlens.operators import sorted_pairs
+    df = spark.createDataFrame([(["b", "a", "c"],), (["x"],), (None,)], "t array<string>")
+    out = df.select(sorted_pairs("t").alias("p"))
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("array_sort") == 1
+    inner = text[text.index("lambdafunction"):]
+    assert "array_sort" not in inner.split("array(array_sort")[0]
+    assert [r.p for r in out.collect()][:2] == [["a|b", "a|c", "b|c"], []]
+
+
+def test_fastest_growth_aggregates_all_rows_by_hash(spark):
+    obs = _prepared(spark)
+    text = plans.fastest_growth_videos(obs)._jdf.queryExecution().sparkPlan().toString()
+    assert text.count("SortAggregate") <= 2  # titles of the surviving days only
+    assert "HashAggregate(keys=[video_id" in text
 
 
 def test_reach_topk_has_no_unpartitioned_window(spark):

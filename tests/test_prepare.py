@@ -46,3 +46,21 @@ def test_csv_roundtrip_and_prepare(spark):
     types = dict(out.dtypes)
     assert types["view_count"] == "bigint" and types["category_id"] == "int"
     assert types["trending_date"] == "date" and types["published_at"] == "timestamp"
+
+
+def test_numbers_written_as_decimals(spark):
+    from trendlens.plans.prepare import drop_outliers, select_typed
+    texts = ["100", "100.0", "1e5", "", "abc", None, "2.9", "1e40", " 7 "]
+    cols = ["region_code", "video_id", "title", "published_at", "channel_id", "channel_title", "trending_date",
+            "tags", "likes", "dislikes", "comment_count", "duration"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, view_count string").selectExpr(
+        "cast(n as string) as category_id", "view_count", *[f"view_count as {c}" for c in cols])
+    got = {r.category_id: r.view_count for r in select_typed(df).collect()}
+    assert got == {0: 100, 1: 100, 2: 100000, 3: None, 4: None, 5: None, 6: 2, 7: None, 8: 7}
+    assert drop_outliers(select_typed(df)).count() == 5
+
+
+def test_duration_units_overflow_one_by_one(spark):
+    from trendlens.functions import prepared_duration_seconds
+    df = spark.createDataFrame([("PT1H99999999999S",), ("PT99999999999999999999H2M",), ("PT2000000000H",)], "d string")
+    assert [r[0] for r in df.select(prepared_duration_seconds("d")).collect()] == [3600, 120, 0]

@@ -4,6 +4,12 @@
   python -m trendlens query NAME OBSERVATIONS_DIR RESULT_PATH [--region US] [--format parquet]
   python -m trendlens stream --history OBSERVATIONS_DIR --root SHARED_DIR
                              (--kafka SERVERS --topic TOPIC | --files DIR) [--window "30 seconds"]
+                             [--drain]
+  python -m trendlens publish NAME --root SHARED_DIR [--window "30 seconds"]
+
+``stream`` runs until a query stops; with ``--drain`` it takes what has arrived
+and ends. ``publish`` replaces the result table ``SHARED_DIR/published/NAME`` by
+the current result of a stream question.
 
 Each job runs in the session ``spark-submit`` provides; results replace the
 target (Parquet unless ``--format`` names another writer format).
@@ -24,7 +30,7 @@ from trendlens.sources import (
     write_observations,
     write_result,
 )
-from trendlens.streaming import TrendStreams, parse_messages
+from trendlens.streaming import NAMES, TrendStreams, parse_messages
 from trendlens.streaming.processors import DEFAULT_WINDOW
 
 REGIONAL = {"view_count_change_per_day", "top_tag_combinations"}
@@ -67,6 +73,11 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--files", default=None)
     st.add_argument("--window", default=DEFAULT_WINDOW)
     st.add_argument("--state-partitions", type=int, default=None)
+    st.add_argument("--drain", action="store_true")
+    pb = sub.add_parser("publish")
+    pb.add_argument("name", choices=NAMES)
+    pb.add_argument("--root", required=True)
+    pb.add_argument("--window", default=DEFAULT_WINDOW)
     return p
 
 
@@ -80,6 +91,8 @@ def main(argv: list[str] | None = None, spark=None) -> None:
         obs = read_observations(spark, args.observations)
         kw = {"region": args.region} if args.name in REGIONAL else {}
         write_result(QUESTIONS[args.name](obs, **kw), args.out, fmt=args.format)
+    elif args.cmd == "publish":
+        TrendStreams(spark, args.root, window=args.window).publish(args.name)
     else:
         if args.kafka:
             source = kafka_source(spark, args.kafka, args.topic)
@@ -90,7 +103,7 @@ def main(argv: list[str] | None = None, spark=None) -> None:
         history = read_observations(spark, args.history) if args.history else None
         app = TrendStreams(spark, args.root, history=history, window=args.window,
                            state_partitions=args.state_partitions)
-        app.run(parse_messages(source))
+        app.run(parse_messages(source), {"availableNow": True} if args.drain else None, drain=args.drain)
 
 
 if __name__ == "__main__":

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, functions as F
 
 from trendlens.functions._cols import as_col
@@ -19,45 +17,29 @@ STREAM_MINUTES = r"(\d+)M"
 STREAM_SECONDS = r"(\d+)S"
 
 
-def _unit(text: Column, pattern: str) -> Column:
+def _unit(text: Column, pattern: str, kind: str) -> Column:
     # regexp_extract yields '' when nothing matches. That becomes NULL before
     # the cast: a failing cast costs a JVM exception per row even inside
-    # try_cast. try_cast still guards digit runs too long for a bigint.
+    # try_cast. try_cast still guards digit runs too long for ``kind``.
     digits = F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
-    return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(digits.try_cast(kind), F.lit(0)).cast("bigint")
 
 
-def _seconds(text, h: str, m: str, s: str) -> Column:
+def _seconds(text, h: str, m: str, s: str, kind: str) -> Column:
     t = as_col(text)
-    return _unit(t, h) * 3600 + _unit(t, m) * 60 + _unit(t, s)
+    return _unit(t, h, kind) * 3600 + _unit(t, m, kind) * 60 + _unit(t, s, kind)
 
 
 def prepared_duration_seconds(text) -> Column:
-    """Seconds as INT; absent units count 0, NULL/unparsable text gives 0."""
-    return F.coalesce(_seconds(text, PREPARED_HOURS, PREPARED_MINUTES, PREPARED_SECONDS)
+    """Seconds as INT; absent units count 0, NULL/unparsable text gives 0. A
+    unit too long for an INT counts 0 by itself."""
+    return F.coalesce(_seconds(text, PREPARED_HOURS, PREPARED_MINUTES, PREPARED_SECONDS, "int")
                       .try_cast("int"), F.lit(0))
 
 
 def stream_duration_seconds(text) -> Column:
     """Seconds as BIGINT with unanchored unit patterns."""
-    return _seconds(text, STREAM_HOURS, STREAM_MINUTES, STREAM_SECONDS)
-
-
-def bucketize(value, edges: Sequence[float], labels: Sequence, closed: str = "left") -> Column:
-    """Map ``value`` onto ``len(edges) + 1`` labelled ranges.
-
-    ``closed="left"`` uses ranges ``[e_i, e_{i+1})``; ``closed="right"`` uses
-    ``(e_i, e_{i+1}]``. NULL values fall into the last label, like an
-    ``otherwise`` branch.
-    """
-    if len(labels) != len(edges) + 1:
-        raise ValueError("need one label more than edges")
-    v = as_col(value)
-    expr = None
-    for edge, label in zip(edges, labels):
-        cond = (v < edge) if closed == "left" else (v <= edge)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(labels[-1])) if expr is not None else F.lit(labels[-1])
+    return _seconds(text, STREAM_HOURS, STREAM_MINUTES, STREAM_SECONDS, "bigint")
 
 
 # The reference's bucket labels and edges (seconds).

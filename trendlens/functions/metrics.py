@@ -16,9 +16,35 @@ def engagement_rate(views="view_count", likes="likes", comments="comment_count")
     return F.when(v > 0, (as_col(likes) + as_col(comments)) / v).otherwise(F.lit(0.0))
 
 
+# Up to this size values are summed exactly, in hundredths; beyond it (and for
+# NaN) as doubles, as a plain average does.
+EXACT_LIMIT = 1e15
+
+
+def is_exact(value) -> Column:
+    """TRUE for a value that ``cents`` represents; NULL for NULL."""
+    return F.abs(as_col(value).cast("double")) <= EXACT_LIMIT
+
+
 def cents(value) -> Column:
-    """A money-like double in integer hundredths, as an overflow-free decimal."""
-    return F.round(as_col(value) * 100).cast("decimal(38,0)")
+    """A money-like double in integer hundredths, as an overflow-free decimal;
+    NULL for values beyond ``EXACT_LIMIT``."""
+    v = as_col(value).cast("double")
+    return F.when(is_exact(v), F.round(v * 100).try_cast("decimal(38,0)"))
+
+
+def beyond_exact(value) -> Column:
+    """The value, if ``cents`` cannot represent it, else NULL."""
+    v = as_col(value).cast("double")
+    return F.when(~is_exact(v), v)
+
+
+def average_of(total_cents: Column, beyond: Column, n: Column) -> Column:
+    """The average from the sums of ``cents`` and ``beyond_exact``: exact and
+    half-up while nothing lies beyond, else that of doubles, rounded."""
+    exact = half_up_hundredths(total_cents, n)
+    rough = F.round((F.coalesce(total_cents.cast("double") / 100, F.lit(0.0)) + beyond) / n, 2)
+    return F.when(beyond.isNull(), exact).otherwise(rough)
 
 
 def half_up_hundredths(total_cents: Column, n: Column) -> Column:
@@ -36,4 +62,4 @@ def half_up_hundredths(total_cents: Column, n: Column) -> Column:
 
 def avg_hundredths(value) -> Column:
     """Aggregate: average of ``value`` rounded half-up to two decimals."""
-    return half_up_hundredths(F.sum(cents(value)), F.count(as_col(value)))
+    return average_of(F.sum(cents(value)), F.sum(beyond_exact(value)), F.count(as_col(value)))

@@ -15,17 +15,14 @@ _ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}T"
 def event_time(stamp, fallback) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` first, then an ISO-8601 instant (with fraction
     and offset, as the producer writes it), then ``fallback`` (the transport
-    time), and processing time only if even that is missing.
+    time). NULL if none gives a time: such a row belongs to no window.
 
     Each parse only runs on text of its shape: a failed pattern parse costs a
-    JVM exception per row, a shape test does not. The last, never-NULL
-    fallback makes the column non-nullable, so the not-NULL filter a time
-    window adds folds away instead of re-running the decoding at the scan.
+    JVM exception per row, a shape test does not.
     """
     s = as_col(stamp)
     return F.coalesce(
         F.when(s.rlike(_PLAIN_SHAPE), F.try_to_timestamp(s, F.lit(PLAIN_STAMP))),
         F.when(s.rlike(_ISO_SHAPE), s.try_cast("timestamp")),
         as_col(fallback).cast("timestamp"),
-        F.current_timestamp(),
     )

@@ -1,4 +1,4 @@
-from trendlens.operators.joins import has_at_most, join_small, overlap_with
+from trendlens.operators.joins import overlap_with
 from trendlens.operators.series import moving_average, one_per_period, period_delta
 from trendlens.operators.tags import (
     explode_tags,
@@ -11,7 +11,7 @@ from trendlens.operators.topk import kth_best, top_k, top_k_with_ties
 from trendlens.operators.windows import windowed_agg
 
 __all__ = [
-    "has_at_most", "join_small", "overlap_with", "windowed_agg", "moving_average", "one_per_period", "period_delta",
+    "overlap_with", "windowed_agg", "moving_average", "one_per_period", "period_delta",
     "explode_tags", "keep_pairable_tags", "sorted_pairs", "tag_array", "tag_pairs", "kth_best", "top_k",
     "top_k_with_ties",
 ]

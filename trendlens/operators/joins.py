@@ -1,50 +1,22 @@
-"""Joins against a side whose size is checked before it is broadcast."""
+"""Joins against a reference set."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Default bound for an explicit broadcast: rows of the small side.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    An exact distributed count (partial counts per task, one number per task
-    shuffled): a ``limit(n + 1)`` probe would instead let every task ship up
-    to n + 1 rows into a single partition. Call it on the side that is to be
-    broadcast, already reduced (distinct keys), ideally materialised.
-    """
-    return df.count() <= max_rows
-
-
-def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``right`` only when its row count is proven to be within
-    ``max_rows``; otherwise leave the strategy to Spark (sort-merge or, with
-    AQE in batch jobs, a runtime broadcast once the shuffle shows it small).
-
-    Streaming micro-batches do not re-plan adaptively, so stream-static joins
-    rely on this check.
-    """
-    if has_at_most(right, max_rows):
-        return left.join(F.broadcast(right), on=on, how=how)
-    return left.join(right, on=on, how=how)
-
 
 def overlap_with(df: DataFrame, keys, reference: DataFrame, flag: str = "in_reference",
-                 broadcast: bool | None = None,
-                 max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 broadcast: bool = False, unique: bool = False) -> DataFrame:
     """``df`` with a boolean ``flag``: TRUE where its ``keys`` occur in
     ``reference``, NULL otherwise (a left join to the distinct reference keys,
     so ``df`` rows are never multiplied).
 
-    ``broadcast`` is the outcome of a size check made by the caller (for a
-    stream: once, at start); ``None`` checks ``has_at_most`` here.
+    ``unique`` says that the reference's keys are distinct already, which spares
+    a shuffle of it. ``broadcast`` must come from a check of the reference's size
+    (micro-batches are not re-planned); without it the planner decides, in batch
+    jobs by the size that adaptive execution measures.
     """
     cols = [keys] if isinstance(keys, str) else list(keys)
-    ref = reference.select(*cols).distinct().withColumn(flag, F.lit(True))
-    if broadcast is None:
-        broadcast = has_at_most(ref, max_rows)
+    ref = reference.select(*cols)
+    ref = (ref if unique else ref.distinct()).withColumn(flag, F.lit(True))
     return df.join(F.broadcast(ref) if broadcast else ref, cols, "left")

@@ -28,15 +28,18 @@ def sorted_pairs(arr, joiner: str = TAG_SEPARATOR) -> Column:
     """All ``a[i] || joiner || a[j]`` with i < j of a sorted copy of ``arr``.
 
     Arrays with fewer than two items give an empty array (no NULL pair);
-    duplicates in the array produce repeated pairs.
+    duplicates in the array produce repeated pairs. The sorted copy is bound as
+    the one item of an array, so it is made once per row and not once per pair.
     """
-    a = F.array_sort(as_col(arr))
-    n = F.size(a)
-    pairs = F.flatten(F.transform(
-        F.sequence(F.lit(1), n - 1),
-        lambda i: F.transform(F.slice(a, i + 1, n),
-                              lambda x: F.concat(F.element_at(a, i), F.lit(joiner), x))))
-    return F.when(n >= 2, pairs).otherwise(F.array().cast("array<string>"))
+    def pairs(a: Column) -> Column:
+        n = F.size(a)
+        every = F.flatten(F.transform(
+            F.sequence(F.lit(1), n - 1),
+            lambda i: F.transform(F.slice(a, i + 1, n),
+                                  lambda x: F.concat(F.element_at(a, i), F.lit(joiner), x))))
+        return F.when(n >= 2, every).otherwise(F.array().cast("array<string>"))
+
+    return F.element_at(F.transform(F.array(F.array_sort(as_col(arr))), pairs), 1)
 
 
 def tag_pairs(df: DataFrame, col: str = "tags", sep: str = TAG_SEPARATOR,

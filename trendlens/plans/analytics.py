@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, functions as F
 from trendlens.functions.durations import prepared_duration_bucket
 from trendlens.operators.series import moving_average, one_per_period, period_delta
 from trendlens.operators.tags import explode_tags, keep_pairable_tags, sorted_pairs, tag_pairs
-from trendlens.operators.topk import top_k
+from trendlens.operators.topk import kth_best, top_k
 
+# The result columns of every question.
 DEFAULT_REGION = "US"
 # Fixed value: day-over-day growth above this is treated as a data error.
 MAX_DAILY_GROWTH = 200_000_000
@@ -67,12 +68,23 @@ def view_count_change_per_day(obs: DataFrame, region: str = DEFAULT_REGION, k: i
 
 def fastest_growth_videos(obs: DataFrame, k: int = 20, max_growth: int = MAX_DAILY_GROWTH) -> DataFrame:
     """A5: largest growth between two consecutive calendar days of the same
-    (item, region), within [0, ``max_growth``], per (item, title); top ``k``."""
+    (item, region), within [0, ``max_growth``], per (item, title); top ``k``.
+
+    All rows are reduced on numbers alone (a hash aggregation). Titles are
+    fetched for the few days that can reach the top: those whose growth is at
+    least the ``k``-th best of the items' best growths."""
     keys = ["video_id", "region_code"]
-    daily = one_per_period(obs, keys, "trending_date", "view_count", carry=["title"])
+    daily = one_per_period(obs, keys, "trending_date", "view_count")
     growth = period_delta(daily, keys, "trending_date", "view_count", prev_value="prev_views",
                           delta="daily_views_growth", gap_days=1, bounds=(0, max_growth))
-    best = growth.groupBy("video_id", "title").agg(
+    peaks = growth.groupBy("video_id").agg(F.max("daily_views_growth").alias("peak"))
+    top = growth.where(F.col("daily_views_growth") >= kth_best(peaks, "peak", k)).select(
+        *keys, "trending_date", "daily_views_growth")
+    days = [*keys, "trending_date"]
+    same_day = [F.col(f"o.{c}").eqNullSafe(F.col(f"t.{c}")) for c in days]
+    titled = obs.select(*days, "title").alias("o").join(top.alias("t"), same_day).select(
+        "o.*", "t.daily_views_growth").groupBy(*days, "daily_views_growth").agg(F.max("title").alias("title"))
+    best = titled.groupBy("video_id", "title").agg(
         F.max("daily_views_growth").alias("max_daily_views_growth"))
     return top_k(best, "max_daily_views_growth", k, ["video_id", "title"])
 
@@ -107,11 +119,11 @@ def top_tag_combinations(obs: DataFrame, region: str = DEFAULT_REGION, min_video
 
     One tag text per item (the smallest, so the survivor is deterministic);
     pairs come from that item's sorted tag array, single-tag items give none
-    (Q-1), duplicated tags give repeated pairs unless ``distinct_tags`` (Q-15).
+    (Q-1), rows without an item id take no part, duplicated tags give repeated pairs unless ``distinct_tags`` (Q-15).
     With ``prune`` tags that cannot reach ``min_videos`` in any pair are
     dropped before pairing (exact, see ``keep_pairable_tags``).
     """
-    r = obs.where(F.col("region_code") == region)
+    r = obs.where((F.col("region_code") == region) & F.col("video_id").isNotNull())
     items = r.groupBy("video_id").agg(
         F.countDistinct("trending_date").alias("trending_days"),
         F.min("tags").alias("tags"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from trendlens.functions.categories import category_name
 from trendlens.functions.durations import prepared_duration_seconds
@@ -19,6 +20,15 @@ OBSERVATION_COLUMNS = (
 )
 
 
+def _whole(df: DataFrame, name: str, kind: str) -> Column:
+    """A whole number. Text may write it as a decimal (``100.0``, ``1e5``), which
+    is truncated; text that is no number, or out of range, gives NULL."""
+    c = F.col(name)
+    if not isinstance(df.schema[name].dataType, StringType):
+        return c.try_cast(kind).alias(name)
+    return F.coalesce(c.try_cast(kind), c.try_cast("double").try_cast(kind)).alias(name)
+
+
 def select_typed(df: DataFrame) -> DataFrame:
     """Keep the input columns the table needs, each as its type.
 
@@ -32,13 +42,10 @@ def select_typed(df: DataFrame) -> DataFrame:
         F.col("published_at").try_cast("timestamp").alias("published_at"),
         F.col("channel_id").cast("string").alias("channel_id"),
         F.col("channel_title").cast("string").alias("channel_title"),
-        F.col("category_id").try_cast("int").alias("category_id"),
+        _whole(df, "category_id", "int"),
         F.col("trending_date").try_cast("date").alias("trending_date"),
         F.col("tags").cast("string").alias("tags"),
-        F.col("view_count").try_cast("bigint").alias("view_count"),
-        F.col("likes").try_cast("bigint").alias("likes"),
-        F.col("dislikes").try_cast("bigint").alias("dislikes"),
-        F.col("comment_count").try_cast("bigint").alias("comment_count"),
+        *[_whole(df, c, "bigint") for c in ("view_count", "likes", "dislikes", "comment_count")],
         F.col("duration").cast("string").alias("duration"),
     )
 

@@ -3,7 +3,7 @@
 Everything that must outlive a task (stream checkpoints, landed stream files,
 sink tables) goes under the folder named by ``spark.checkpoint.dir``, which on a
 cluster points at shared storage. A local fallback is created only when the
-setting is absent *and* Spark runs in local mode (tests, the bench).
+setting is absent *and* Spark runs in one process (tests, the bench).
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ def _checkpoint_root(spark: SparkSession) -> str:
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.split("[")[0] == "local":
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running "
                            "streaming or checkpointing jobs on a cluster")
     root = tempfile.mkdtemp(prefix="trendlens-")

@@ -24,8 +24,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from trendlens.plans.prepare import prepare
 from trendlens.sources.tables import read_table
 
-# The stream mapping's history is everything before this instant (UTC).
-HISTORY_CUTOFF = "2024-01-01 06:00:00"
 STREAM_CHANNELS = 50
 
 
@@ -84,6 +82,16 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def text_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_observations`` as text, as a CSV holds it; odd line numbers write
+    their view count as a decimal."""
+    raw = raw_observations(spark, sf_dir)
+    views = F.concat(F.col("view_count").cast("string"),
+                     F.when(F.col("dislikes") % 2 == 1, F.lit(".0")).otherwise(F.lit("")))
+    return raw.select(*[views.alias(c) if c == "view_count" else F.col(c).cast("string").alias(c)
+                        for c in raw.columns])
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(raw_observations(spark, sf_dir))
 
@@ -105,20 +113,31 @@ def _event_columns(ev: DataFrame) -> DataFrame:
     )
 
 
-def stream_messages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+def stream_messages(spark: SparkSession, sf_dir: str, partitions: int | None = None,
+                    stamps: str = "iso") -> DataFrame:
     """Envelopes ``key binary, value binary, timestamp timestamp``.
 
     ``collected_at`` is written the way the producer writes it (ISO-8601 with
     microseconds and a ``+00:00`` offset); the transport timestamp is the same
-    instant. Like a topic, the messages are spread over ``partitions``
-    (default: the session's parallelism) by item key, so decoding runs in
-    parallel even when the events table is a single row group.
+    instant. With ``stamps="mixed"`` the layout goes by ``user_id % 4`` (plain,
+    ISO, empty, malformed) and the transport time is a day later, so that every
+    way to an event time is taken.
+
+    The scan's own splits are kept; ``partitions`` deals the rows out evenly
+    (without a key, so no hot item can gather in one task).
     """
-    n = partitions or spark.sparkContext.defaultParallelism
-    e = _event_columns(_events(spark, sf_dir)).repartition(n, "video_id")
+    e = _event_columns(_events(spark, sf_dir))
+    if partitions:
+        e = e.repartition(partitions)
+    iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    sent = F.col("ts").cast("timestamp")
+    if stamps == "mixed":
+        kind = F.col("video_id").cast("bigint") % 4
+        iso = (F.when(kind == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).when(kind == 1, iso)
+               .when(kind == 2, F.lit("")).otherwise(F.lit("yesterday, about noon")))
+        sent = sent + F.expr("INTERVAL 1 DAY")
     payload = F.struct(
-        F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
-         .alias("collected_at"),
+        iso.alias("collected_at"),
         F.col("region_code"),
         F.col("video_id"),
         F.concat(F.lit("Item "), F.col("video_id")).alias("title"),
@@ -130,11 +149,12 @@ def stream_messages(spark: SparkSession, sf_dir: str, partitions: int | None = N
     return e.select(
         F.col("video_id").cast("binary").alias("key"),
         F.to_json(payload).cast("binary").alias("value"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        sent.alias("timestamp"),
     )
 
 
-def stream_history(spark: SparkSession, sf_dir: str, cutoff: str = HISTORY_CUTOFF) -> DataFrame:
-    """Stored history for the stream: ``region_code, channel_id, view_count``."""
-    ev = _events(spark, sf_dir).where(F.col("ts") < F.lit(cutoff).cast("timestamp_ntz"))
+def stream_history(spark: SparkSession, sf_dir: str, until: str) -> DataFrame:
+    """Stored history for the stream, the events before ``until`` (UTC):
+    ``region_code, channel_id, view_count``."""
+    ev = _events(spark, sf_dir).where(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
     return _event_columns(ev).select("region_code", "channel_id", "view_count")

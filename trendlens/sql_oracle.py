@@ -254,10 +254,22 @@ SELECT video_id, region_code, trending_date, view_count, likes, comment_count, e
     "prepare_observations": OBS + "SELECT * FROM obs",
     "snake_case_columns": _RAW + "SELECT * FROM raw",
     "typed_casts": _RAW + "SELECT * FROM raw",
-    "outlier_filter": _RAW + "SELECT * FROM raw WHERE view_count <= 25000000000",
+    "outlier_filter": _RAW + "SELECT * FROM raw WHERE view_count <= 50000",
+    "csv_prepare": OBS + "SELECT * FROM obs",
+    "prepared_table": OBS + f"""
+SELECT region_code, video_id, trending_date, view_count, duration_seconds FROM obs WHERE region_code = {_R}""",
+    "result_roundtrip": ORACLE["top_tags"],
     "stream_parse": _MSG + """
 SELECT collected_at, region_code, video_id, title, channel_id, channel_title, view_count, duration,
        kafka_ts, event_time, duration_sec FROM msg""",
-    "event_time": _MSG + "SELECT video_id, collected_at, kafka_ts, event_time FROM msg",
+    "event_time": """
+SELECT CAST(user_id AS VARCHAR) AS video_id,
+       CASE user_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+            WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'
+            WHEN 2 THEN '' ELSE 'yesterday, about noon' END AS collected_at,
+       CAST(ts AS TIMESTAMP) + INTERVAL 1 DAY AS kafka_ts,
+       CASE user_id % 4 WHEN 0 THEN date_trunc('second', CAST(ts AS TIMESTAMP)) WHEN 1 THEN CAST(ts AS TIMESTAMP)
+            ELSE CAST(ts AS TIMESTAMP) + INTERVAL 1 DAY END AS event_time
+FROM events""",
     "stream_duration": _MSG + "SELECT DISTINCT duration, duration_sec FROM msg",
 })

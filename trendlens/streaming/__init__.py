@@ -8,10 +8,10 @@ from trendlens.streaming.processors import (
     historical_overlap,
     trending_freshness,
 )
-from trendlens.streaming.sinks import BatchLog, latest_per_key
+from trendlens.streaming.sinks import BatchLog, PublishedTable, latest_per_key
 
 __all__ = [
     "NAMES", "TRIGGERS", "TrendStreams", "MESSAGE_SCHEMA", "parse_messages",
     "channel_regional_reach", "current_vs_historical_views", "duration_distribution",
-    "first_seen", "historical_overlap", "trending_freshness", "BatchLog", "latest_per_key",
+    "first_seen", "historical_overlap", "trending_freshness", "BatchLog", "PublishedTable", "latest_per_key",
 ]

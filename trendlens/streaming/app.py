@@ -2,7 +2,7 @@
 
 Layout under ``root`` (a shared folder): ``out/<name>`` batch logs,
 ``checkpoints/<name>`` query checkpoints, ``state/`` tables materialised once
-at start. Outputs and checkpoints never share a folder with the observation
+at start, ``published/<name>`` result tables. Outputs and checkpoints never share a folder with the observation
 table (Q-12). Every query runs in ``update`` mode into a ``BatchLog``; the
 ``result`` readers turn the logs into the final tables, which equal the batch
 processors on the same input.
@@ -15,10 +15,9 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trendlens.operators.joins import DEFAULT_BROADCAST_ROWS, has_at_most
 from trendlens.plans.history import hist_channel_ids, views_baseline
 from trendlens.streaming import processors as P
-from trendlens.streaming.sinks import BatchLog, fold_per_key, latest_per_key
+from trendlens.streaming.sinks import BatchLog, Folder, PublishedTable, fold_per_key, latest_per_key
 
 # The processing-time trigger of each query.
 TRIGGERS = {
@@ -29,6 +28,9 @@ TRIGGERS = {
     "current_vs_historical_views": "30 seconds",
 }
 NAMES = tuple(TRIGGERS)
+# A history's channels are broadcast to micro-batches up to this size of their
+# written table; beyond it the join shuffles. The results are the same.
+MAX_BROADCAST_BYTES = 32 << 20
 
 # How each sink folds its log without changing the final table.
 LOG_MERGES = {
@@ -45,7 +47,7 @@ LOG_MERGES = {
 class TrendStreams:
     def __init__(self, spark: SparkSession, root: str, history: DataFrame | None = None,
                  window: str = P.DEFAULT_WINDOW, reach_k: int = P.DEFAULT_REACH_K,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
                  state_partitions: int | None = None, compact_every: int | None = 50,
                  freshness: str = "earliest"):
         """``state_partitions`` fixes the number of state-store partitions of
@@ -66,7 +68,7 @@ class TrendStreams:
         self.history = history
         self.window = window
         self.reach_k = reach_k
-        self.max_broadcast_rows = max_broadcast_rows
+        self.max_broadcast_bytes = max_broadcast_bytes
 
     def log(self, name: str, prepare=None) -> BatchLog:
         return BatchLog(f"{self.root}/out/{name}", prepare, LOG_MERGES[name], self.compact_every)
@@ -100,7 +102,7 @@ class TrendStreams:
         path = f"{self.root}/state/hist_channels"
         hist_channel_ids(self._history()).write.mode("overwrite").parquet(path)
         table = self.spark.read.parquet(path)
-        return table, has_at_most(table, self.max_broadcast_rows)
+        return table, Folder(self.spark, path).size() <= self.max_broadcast_bytes
 
     def _baseline(self) -> DataFrame:
         """The history's one-row baseline, written once to the shared folder;
@@ -134,10 +136,23 @@ class TrendStreams:
     def start_all(self, parsed: DataFrame, trigger: dict | None = None) -> list[StreamingQuery]:
         return [self.start(n, parsed, trigger) for n in NAMES]
 
-    def run(self, parsed: DataFrame, trigger: dict | None = None) -> None:
-        """Start all five queries and block until any of them stops (or fails)."""
-        self.start_all(parsed, trigger)
-        self.spark.streams.awaitAnyTermination()
+    def run(self, parsed: DataFrame, trigger: dict | None = None, drain: bool = False) -> None:
+        """Start all five queries and block until any of them stops (or fails);
+        with ``drain`` until all have ended by themselves."""
+        queries = self.start_all(parsed, trigger)
+        if not drain:
+            self.spark.streams.awaitAnyTermination()
+            return
+        for q in queries:
+            q.awaitTermination()
+
+    # publishing -----------------------------------------------------------------------------
+    def published(self, name: str) -> PublishedTable:
+        return PublishedTable(f"{self.root}/published/{name}")
+
+    def publish(self, name: str) -> None:
+        """Replace the result table that others read by the current result."""
+        self.published(name).replace(self.result(name))
 
     # reading the final tables ---------------------------------------------------------------
     def result(self, name: str) -> DataFrame:

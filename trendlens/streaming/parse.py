@@ -35,13 +35,21 @@ def parse_messages(envelope: DataFrame, watermark: str | None = DEFAULT_WATERMAR
     ``event_time`` (TIMESTAMP), ``duration_sec`` (BIGINT).
 
     JSON is parsed PERMISSIVE: malformed text gives NULL fields and the event
-    time falls back to the transport time. The watermark needs a TIMESTAMP
-    (not TIMESTAMP_NTZ) column, hence the cast inside ``event_time``.
+    time falls back to the transport time; a message without that too keeps a
+    NULL event time, moves no watermark and enters no window. The watermark
+    needs a TIMESTAMP (not TIMESTAMP_NTZ) column, hence the cast inside
+    ``event_time``.
+
+    The decoded fields leave through a generator of one row, so the not-NULL
+    filter that a time window adds stays above the decoding, which would
+    otherwise run a second time inside that filter.
     """
+    fields = [F.col(f"m.{f.name}").alias(f.name) for f in schema.fields]
     parsed = (envelope
               .select(F.from_json(F.col("value").cast("string"), schema).alias("m"),
                       F.col("timestamp").cast("timestamp").alias("kafka_ts"))
-              .select("m.*", "kafka_ts")
-              .withColumn("event_time", event_time("collected_at", "kafka_ts"))
-              .withColumn("duration_sec", stream_duration_seconds("duration")))
+              .select(F.inline(F.array(F.struct(
+                  *fields, "kafka_ts",
+                  event_time("m.collected_at", "kafka_ts").alias("event_time"),
+                  stream_duration_seconds("m.duration").alias("duration_sec"))))))
     return parsed.withWatermark("event_time", watermark) if watermark else parsed

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trendlens.functions.durations import LONG_EDGE_SECONDS, SHORT_EDGE_SECONDS
-from trendlens.functions.metrics import cents, half_up_hundredths
-from trendlens.operators.joins import DEFAULT_BROADCAST_ROWS, has_at_most, overlap_with
+from trendlens.functions.metrics import average_of, beyond_exact, cents, half_up_hundredths
+from trendlens.operators.joins import overlap_with
 from trendlens.operators.windows import windowed_agg
 from trendlens.operators.topk import top_k_with_ties
 from trendlens.plans.history import hist_channel_ids, views_baseline
@@ -99,10 +99,10 @@ def window_channel_updates(parsed: DataFrame, window: str = DEFAULT_WINDOW) -> D
             .select("channel_id", *_labels()))
 
 
-def flag_history(keyed: DataFrame, hist_channels: DataFrame, broadcast: bool) -> DataFrame:
+def flag_history(keyed: DataFrame, hist_channels: DataFrame, broadcast: bool = False) -> DataFrame:
     """Left join of (window, channel) keys to the distinct history channels.
     ``broadcast`` must come from a size check of ``hist_channels``."""
-    return overlap_with(keyed, "channel_id", hist_channels, flag="in_hist", broadcast=broadcast)
+    return overlap_with(keyed, "channel_id", hist_channels, flag="in_hist", broadcast=broadcast, unique=True)
 
 
 def overlap_summary(flagged: DataFrame) -> DataFrame:
@@ -117,11 +117,10 @@ def overlap_summary(flagged: DataFrame) -> DataFrame:
                 half_up_hundredths(hist * 10000, total).alias("overlap_pct")))
 
 
-def historical_overlap(parsed: DataFrame, hist: DataFrame, window: str = DEFAULT_WINDOW,
-                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    channels = hist_channel_ids(hist)
-    keyed = window_channel_updates(parsed, window)
-    return overlap_summary(flag_history(keyed, channels, has_at_most(channels, max_broadcast_rows)))
+def historical_overlap(parsed: DataFrame, hist: DataFrame, window: str = DEFAULT_WINDOW) -> DataFrame:
+    """The join carries no hint: in a batch, adaptive execution broadcasts the
+    history's channels when they prove small."""
+    return overlap_summary(flag_history(window_channel_updates(parsed, window), hist_channel_ids(hist)))
 
 
 # S5 ---------------------------------------------------------------------------------------
@@ -132,13 +131,14 @@ def window_view_updates(parsed: DataFrame, window: str = DEFAULT_WINDOW) -> Data
     return windowed_agg(parsed, "event_time", window, aggs=[
         F.max(v).alias("current_max_views"),
         F.sum(cents(v)).alias("sum_cents"),
+        F.sum(beyond_exact(v)).alias("sum_beyond"),
         F.count(v).alias("n_views")]).drop("window_end")
 
 
 def finish_window_views(updates: DataFrame, hist_max: Column, hist_avg: Column) -> DataFrame:
     return updates.select(
         "window_start", "current_max_views",
-        half_up_hundredths(F.col("sum_cents"), F.col("n_views")).alias("current_avg_views"),
+        average_of(F.col("sum_cents"), F.col("sum_beyond"), F.col("n_views")).alias("current_avg_views"),
         hist_max.cast("double").alias("hist_max_views"),
         hist_avg.cast("double").alias("hist_avg_views"))
 

@@ -10,25 +10,65 @@ read-modify-write of shared state. Readers merge the log by key:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 VERSION_COL = "batch_id"
 
 
+class Folder:
+    """A folder of the shared file system, through Spark's own client."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._jvm = spark._jvm
+        self.path = path
+        self._p = self._jvm.org.apache.hadoop.fs.Path(path)
+        self._fs = self._p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self._fs.exists(self._p)
+
+    def names(self) -> list[str]:
+        return [s.getPath().getName() for s in self._fs.listStatus(self._p)] if self.exists() else []
+
+    def size(self) -> int:
+        return self._fs.getContentSummary(self._p).getLength()
+
+    def delete(self) -> None:
+        self._fs.delete(self._p, True)
+
+    def replace_text(self, name: str, text: str) -> None:
+        """Write a small file beside the folder's others and move it into place
+        in one step, over an earlier one."""
+        path = self._jvm.org.apache.hadoop.fs.Path
+        fresh, target = path(self._p, f".{name}-{uuid.uuid4().hex}"), path(self._p, name)
+        out = self._fs.create(fresh, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._p.toUri(), self._fs.getConf())
+        options = self._jvm.org.apache.hadoop.fs.Options.Rename
+        overwrite = SparkContext._gateway.new_array(options, 1)
+        overwrite[0] = options.OVERWRITE
+        context.rename(fresh, target, overwrite)
+
+
 class BatchLog:
     """``merge`` (optional) folds a log into an equivalent smaller one -- it
     must keep the columns, ``batch_id`` included, and give the same final
     table when the reader's merge runs on top. With ``compact_every`` the sink
-    then writes a snapshot of everything up to batch N every that many
-    batches (``<root>/_snapshots/upto=N``) and records N in
-    ``<root>/_manifest``; readers take the newest recorded snapshot plus the
-    batch folders after it (partition pruning skips the older ones), so read
-    cost stays proportional to the merged state, not to the stream's history.
-    A replayed batch rewrites the same snapshot and manifest entry.
+    then writes a snapshot of everything up to batch N every that many batches
+    and records N and the snapshot's folder in ``<root>/_manifest``. Readers take
+    the newest recorded snapshot plus the batch folders after it.
+
+    A snapshot is made from an earlier one and never from itself: its folder is
+    new each time and counts only once the manifest names it, and a replayed
+    batch that the manifest covers already is not compacted again. Folders that
+    the *previous* snapshot superseded are deleted then, so listing costs what
+    is live, and readers that began before the compaction still find theirs.
     """
 
     def __init__(self, root: str,
@@ -57,37 +97,88 @@ class BatchLog:
         if self.compact_every and (batch_id + 1) % self.compact_every == 0:
             self.compact(batch_df.sparkSession, batch_id)
 
-    def _latest_snapshot(self, spark: SparkSession) -> int | None:
-        try:
-            return spark.read.parquet(self._manifest).agg(F.max("upto")).first()[0]
-        except AnalysisException:
+    def _latest_snapshot(self, spark: SparkSession) -> tuple[int, str] | None:
+        """(last batch, folder name); only a missing manifest means none."""
+        if not Folder(spark, self._manifest).exists():
             return None
+        newest = spark.read.schema("upto int, folder string").parquet(self._manifest) \
+            .agg(F.max(F.struct("upto", "folder")).alias("m")).first()["m"]
+        return None if newest is None else (newest["upto"], newest["folder"])
 
-    def compact(self, spark: SparkSession, upto: int) -> None:
-        """Write the merged log up to batch ``upto`` and record it."""
-        merged = self.merge(self._read(spark, max_batch=upto))
-        merged.write.mode("overwrite").parquet(f"{self._snapshots}/upto={upto}")
-        spark.createDataFrame([(upto,)], "upto int").write.mode("append").parquet(self._manifest)
+    def _batches(self, spark: SparkSession) -> list[int]:
+        prefix = f"{VERSION_COL}="
+        return sorted(int(n[len(prefix):]) for n in Folder(spark, self.root).names() if n.startswith(prefix))
 
-    def _read(self, spark: SparkSession, max_batch: int | None = None) -> DataFrame:
-        log = spark.read.parquet(self.root)
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Write the merged log up to batch ``upto``, record it, and delete what
+        the snapshot before had superseded."""
+        before = self._latest_snapshot(spark)
+        if before is not None and before[0] >= upto:
+            return
+        folder = f"upto={upto}-{uuid.uuid4().hex}"
+        self.merge(self._read(spark, max_batch=upto)).write.parquet(f"{self._snapshots}/{folder}")
+        spark.createDataFrame([(upto, folder)], "upto int, folder string").coalesce(1) \
+            .write.mode("append").parquet(self._manifest)
+        if before is None:
+            return
+        for batch in self._batches(spark):
+            if batch <= before[0]:
+                Folder(spark, self.path(batch)).delete()
+        for name in Folder(spark, self._snapshots).names():
+            if name not in (folder, before[1]):
+                Folder(spark, f"{self._snapshots}/{name}").delete()
+
+    def _read(self, spark: SparkSession, max_batch: int | None = None) -> DataFrame | None:
         snap = self._latest_snapshot(spark)
+        live = [b for b in self._batches(spark)
+                if (snap is None or b > snap[0]) and (max_batch is None or b <= max_batch)]
+        log = None
+        if live:
+            log = spark.read.option("basePath", self.root).parquet(*[self.path(b) for b in live])
         if snap is not None:
-            base = spark.read.parquet(f"{self._snapshots}/upto={snap}")
-            log = base.unionByName(log.where(F.col(VERSION_COL) > snap))
-        if max_batch is not None:
-            log = log.where(F.col(VERSION_COL) <= max_batch)
+            base = spark.read.parquet(f"{self._snapshots}/{snap[1]}")
+            log = base if log is None else base.unionByName(log)
         return log
 
     def read(self, spark: SparkSession, schema: StructType | None = None) -> DataFrame:
         """All logged rows (or their compacted equivalent) plus ``batch_id``;
         empty (with ``schema``) when no batch has been written yet."""
-        try:
-            return self._read(spark)
-        except AnalysisException:
+        log = self._read(spark)
+        if log is None:
             if schema is None:
-                raise
-            return spark.createDataFrame([], schema.add(VERSION_COL, "int"))
+                raise FileNotFoundError(f"no batch has been written under {self.root}")
+            return spark.createDataFrame([], StructType([*schema.fields, StructField(VERSION_COL, IntegerType())]))
+        return log
+
+
+class PublishedTable:
+    """A result table that is replaced as a whole: each version is written to a
+    folder of its own, and then one small file, moved into place in one step,
+    names it. Readers see the old version or the new one. The version before the
+    current one is kept for readers that have begun; older ones are deleted."""
+
+    def __init__(self, path: str):
+        self.path = path.rstrip("/")
+
+    def _current(self, spark: SparkSession) -> str | None:
+        if not Folder(spark, f"{self.path}/current.txt").exists():
+            return None
+        return spark.read.text(f"{self.path}/current.txt").first()[0]
+
+    def replace(self, df: DataFrame) -> None:
+        spark = df.sparkSession
+        before, version = self._current(spark), f"v={uuid.uuid4().hex}"
+        df.write.parquet(f"{self.path}/{version}")
+        Folder(spark, self.path).replace_text("current.txt", version)
+        for name in Folder(spark, self.path).names():
+            if name.startswith("v=") and name not in (version, before):
+                Folder(spark, f"{self.path}/{name}").delete()
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        version = self._current(spark)
+        if version is None:
+            raise FileNotFoundError(f"nothing has been published under {self.path}")
+        return spark.read.parquet(f"{self.path}/{version}")
 
 
 def latest_per_key(log: DataFrame, keys: list[str], version: str = VERSION_COL,
