@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as E
 from compare import compare, duck
-from conftest import SF_ORACLE
 
+SF_ORACLE = "/root/testdata/sf0.01"
 ORACLE = E.oracle_sql()
-NAMES = sorted(E.queries())
+# The training-data queries are tested beside their operators.
+NAMES = sorted(set(E.queries()) - set(E.LLM_QUERIES))
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(ORACLE) == set(NAMES)
+    assert set(NAMES) <= set(ORACLE)
 
 
 @pytest.mark.parametrize("name", NAMES)
