@@ -2,7 +2,7 @@
 
 Every function takes the observation DataFrame and returns a DataFrame; no
 action runs inside. Each top-k breaks ties on its group key ascending so the
-result is deterministic.
+result is deterministic. Fixed values: the names of the result columns.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from trendlens.operators.series import moving_average, one_per_period, period_de
 from trendlens.operators.tags import explode_tags, keep_pairable_tags, sorted_pairs, tag_pairs
 from trendlens.operators.topk import kth_best, top_k
 
-# The result columns of every question.
 DEFAULT_REGION = "US"
 # Fixed value: day-over-day growth above this is treated as a data error.
 MAX_DAILY_GROWTH = 200_000_000
