@@ -51,14 +51,26 @@ def test_viterbi_fold_for_unigram_tables(spark):
     model = P.Model("unigram", tuple((p, s, i) for i, (p, s) in enumerate(scores.items())), 0, (), "", 3)
     words = ["abcab", "a", "zz", "cabcabab", "xabcx", "bcbcaabc"]
     df = spark.createDataFrame([(w,) for w in words], "word string")
-    got = {r.word: [(s.start, s.stop) for s in r.spans] for r in P.segmented(df, model, spark).collect()}
+    got = {r.word: P._parts(r.word, r.joints) for r in P.segmented(df, model, spark).collect()}
     for w in words:
         score, path = best_path(w, scores, -15.0)
-        if w in got:  # words without any piece have no lattice
-            assert sum(scores.get(w[a:b], -15.0) for a, b in got[w]) == pytest.approx(score)
-            assert got[w][0][0] == 0 and got[w][-1][1] == len(w)
-        else:
-            assert all(b == a + 1 for a, b in path)
+        parts = got.get(w, list(w))  # words without any piece have no lattice
+        assert "".join(parts) == w
+        assert sum(scores.get(p, -15.0) for p in parts) == pytest.approx(score)
+
+
+def test_merge_fold_equals_heap(spark, library):
+    import random
+
+    rng = random.Random(5)
+    model = P.Model.load()
+    score = {p: s for p, s, _ in model.rows}
+    words = {"".join(rng.choice("aeionrstlhx▁" if i else "▁a") for i in range(rng.randint(2, P.LONGEST))) for _ in range(400)}
+    words |= {"▁" * n for n in range(2, 40)} | {"a" * P.LONGEST, "zq", "ab" * 20}
+    df = spark.createDataFrame([(w,) for w in sorted(words)], "word string")
+    got = {r.word: P._parts(r.word, r.joints) for r in P.segmented(df, model, spark).collect()}
+    for w in words:
+        assert got.get(w, list(w)) == P.merged_by_heap(w, score), w
 
 
 def test_awkward_and_empty(spark, library, awkward, nothing):

@@ -42,6 +42,7 @@ from trendlens.llm.chunks import packed as _packed, texts as _texts
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 LONGEST = 48
+CHUNK_BYTES = 32 << 20  # the larger the chunks, the fewer times a word travels
 _LETTER = r"[^\W\d_{not_letters}]"
 
 
@@ -95,38 +96,47 @@ def prepared(text: str) -> str:
     return SPACE + text.replace(" ", SPACE) if text else ""
 
 
+def _different(found: Iterator[list[str]]) -> list[str]:
+    """A chunk's words with a lattice, each once, in order of appearance."""
+    words: dict[str, None] = {}
+    for some in found:
+        words.update(dict.fromkeys(some))
+    return [w for w in words if 1 < len(w) <= LONGEST]
+
+
 def _words(packed: DataFrame, pattern: str) -> DataFrame:
-    """(chunk, word): the different words of each chunk."""
+    """(chunk, nth, word): the different words of each chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = re.compile(pattern, re.S).findall
         for batch in batches:
             for chunk, sizes, blob in zip(*(batch.column(c).to_pylist() for c in ("chunk", "sizes", "texts"))):
-                words: set[str] = set()
-                for text in _texts(sizes, blob):
-                    words.update(find(prepared((text or b"").decode())))
-                found = [w for w in words if 1 < len(w) <= LONGEST]
+                found = _different(find(prepared((t or b"").decode())) for t in _texts(sizes, blob))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * len(found), pa.int64()), pa.array(found, pa.string())], names=["chunk", "word"])
+                    [pa.array([chunk] * len(found), pa.int64()), pa.array(range(len(found)), pa.int32()),
+                     pa.array(found, pa.string())], names=["chunk", "nth", "word"])
 
     # All columns go in, so that this and the assembly read one and the same shuffle.
-    return packed.mapInArrow(run, "chunk long, word string")
+    return packed.mapInArrow(run, "chunk long, nth int, word string").repartition("word")
 
 
 def lattice(words: DataFrame, table: DataFrame, longest: int, least: int = 2) -> DataFrame:
-    """(word, edges) of words that hold pieces of at least ``least`` characters;
-    an edge is (score, neg_start, stop, inner, mids): the cuts inside it, and
-    the sum of their places. ``words`` are different words."""
+    """``words`` (different words, and what belongs to each) that hold pieces of
+    at least ``least`` characters, with their edges; an edge is (score,
+    neg_start, stop, inside, ends): sets of places as bits, those inside the
+    piece and those at its two ends."""
     n = F.length("word")
-    spans = F.flatten(F.transform(F.sequence(F.lit(0), n - least), lambda i: F.transform(
-        F.sequence(F.lit(least), F.least(F.lit(longest), n - i)),
-        lambda k: F.struct(i.alias("i"), k.alias("k"), F.substr(F.col("word"), i + 1, k).alias("piece")))))
-    at = words.filter(n >= least).select("word", F.explode(spans).alias("s")) \
-        .select("word", "s.i", "s.k", "s.piece")
+    begins = words.filter(n >= least).select("*", F.explode(F.sequence(F.lit(0), n - least)).alias("i"))
+    spans = begins.select("*", F.explode(F.sequence(F.lit(least), F.least(F.lit(longest), n - F.col("i")))).alias("k"))
+    at = spans.select("*", F.substr("word", F.col("i") + 1, F.col("k")).alias("piece"))
     edges = at.join(F.broadcast(table), "piece")
     i, stop = F.col("i"), F.col("i") + F.col("k")
-    edge = F.struct("score", (-i).alias("neg_start"), stop.alias("stop"), (F.col("k") - 1).alias("inner"),
-                    ((i + stop) * (F.col("k") - 1) / 2).cast("int").alias("mids"))
-    return edges.groupBy("word").agg(F.collect_list(edge).alias("edges"))
+    edge = F.struct("score", (-i).alias("neg_start"), stop.alias("stop"),
+                    (_bit(stop) - _bit(i + 1)).alias("inside"), (_bit(i) + _bit(stop)).alias("ends"))
+    return edges.groupBy(*words.columns).agg(F.collect_list(edge).alias("edges"))
+
+
+def _bit(n: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), n)
 
 
 def _let(value: Column, use) -> Column:
@@ -134,24 +144,22 @@ def _let(value: Column, use) -> Column:
 
 
 def merges(edges: str, word: str) -> Column:
-    """The (start, stop) spans of a word's merged pieces. Joining two neighbours
-    removes the cut between them: edges that begin or end there are dead, and
-    edges over it have one cut less inside."""
-    def step(e, _):
-        def join(best):
-            cut = best["mids"]
-            alive = F.filter(e, lambda x: (-x["neg_start"] != cut) & (x["stop"] != cut))
-            over = lambda x: (-x["neg_start"] < cut) & (cut < x["stop"])
-            return F.when(best.isNull(), e).otherwise(F.transform(alive, lambda x: F.struct(
-                x["score"].alias("score"), x["neg_start"].alias("neg_start"), x["stop"].alias("stop"),
-                (x["inner"] - over(x).cast("int")).alias("inner"),
-                (x["mids"] - F.when(over(x), cut).otherwise(F.lit(0))).alias("mids"))))
-
-        return _let(F.array_max(F.filter(e, lambda x: x["inner"] == 1)), join)
-
-    last = F.aggregate(F.sequence(F.lit(2), F.length(word)), F.col(edges), step)
-    merged = F.filter(last, lambda x: x["inner"] == 0)
-    return F.sort_array(F.transform(merged, lambda x: F.struct((-x["neg_start"]).alias("start"), x["stop"].alias("stop"))))
+    """The joints of a word by the best merge at each step. The state is the set
+    of joints so far. An edge can merge if its ends are no joints and all places
+    inside it but one are; the best (leftmost of equals) makes that one a joint.
+    A word has no more merges than places, nor than edges."""
+    def step(joints, _):
+        left = F.bitwise_not(joints)
+
+        def can_merge(x):
+            cut = x["inside"].bitwiseAND(left)
+            return (x["ends"].bitwiseAND(joints) == 0) & (cut != 0) & (cut.bitwiseAND(cut - 1) == 0)
+
+        best = F.array_max(F.filter(F.col(edges), can_merge))
+        return F.coalesce(joints.bitwiseOR(best["inside"]), joints)
+
+    steps = F.sequence(F.lit(1), F.least(F.length(word) - 1, F.size(edges)))
+    return F.aggregate(steps, F.lit(0).cast("long"), step)
 
 
 def viterbi(edges: str, word: str, unknown: float) -> Column:
@@ -181,13 +189,21 @@ def viterbi(edges: str, word: str, unknown: float) -> Column:
     return _let(best, back)
 
 
+def joints(spans: Column) -> Column:
+    """The places inside the spans, as bits."""
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda bits, s: bits + _bit(s["stop"]) - _bit(s["start"] + 1))
+
+
 def segmented(words: DataFrame, model: Model, spark: SparkSession) -> DataFrame:
-    """(word, spans) of the words in which characters are joined."""
+    """``words`` that have a lattice, with their joints: bit i is set if no piece
+    begins at character i of the word (which has at most LONGEST)."""
     table = spark.createDataFrame(list(model.rows), "piece string, score double, id int").select("piece", "score")
     if model.kind == "bpe":
-        return lattice(words, table, model.longest_piece).select("word", merges("edges", "word").alias("spans"))
+        cut = lattice(words, table, model.longest_piece)
+        return cut.select(*words.columns, merges("edges", "word").alias("joints"))
     lowest = min(s for _, s, _ in model.rows) - 10.0
-    return lattice(words, table, model.longest_piece, 1).select("word", viterbi("edges", "word", lowest).alias("spans"))
+    cut = lattice(words, table, model.longest_piece, 1)
+    return cut.select(*words.columns, joints(viterbi("edges", "word", lowest)).alias("joints"))
 
 
 def merged_by_heap(word: str, score: dict[str, float]) -> list[str]:
@@ -215,13 +231,10 @@ def merged_by_heap(word: str, score: dict[str, float]) -> list[str]:
     return [p for p in piece if p]
 
 
-def _ids_of(word: str, spans: list[dict] | None, ids: dict[str, int], byte_base: int) -> bytes:
-    parts, at = [], 0
-    for s in spans or ():
-        parts += [*word[at:s["start"]], word[s["start"]:s["stop"]]]
-        at = s["stop"]
-    parts += word[at:]
-    return _ids_of_parts(parts, ids, byte_base)
+def _parts(word: str, bits: int) -> list[str]:
+    """The pieces of a word, by its joints."""
+    cuts = [i for i in range(1, len(word)) if not bits >> i & 1]
+    return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
 
 
 def _ids_of_parts(parts: list[str], ids: dict[str, int], byte_base: int) -> bytes:
@@ -238,19 +251,23 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """(id, pieces, text_sha256): the piece ids of each text, and the digest of
     what they must decode to."""
     spark = docs.sparkSession
-    packed = _packed(docs, id_col, text_col)
+    packed = _packed(docs, id_col, text_col, CHUNK_BYTES)
     pairs = _words(packed, model.words)
-    cut = segmented(pairs.select("word").distinct(), model, spark)
-    reply = pairs.join(cut, "word")
+    # The word table keeps a chunk and a number of each word. They are of no use
+    # but to make both sides of the join read the same shuffle of the pairs.
+    words = pairs.groupBy("word").agg(F.min("chunk").alias("any_chunk"), F.min("nth").alias("any_nth"))
+    cut = segmented(words, model, spark).select("word", "any_chunk", "any_nth", "joints")
+    reply = pairs.join(cut, "word").filter(
+        "joints <> 0 and any_chunk + any_nth >= 0").select("chunk", "nth", "joints")
     shared = spark.sparkContext.broadcast((model.words, {p: i for p, _, i in model.rows},
                                            {p: s for p, s, _ in model.rows} if model.kind == "bpe" else None,
                                            model.byte_base))
 
     def run(chunk: pa.Table, words: pa.Table) -> pa.Table:
         pattern, ids, score, byte_base = shared.value
-        spans = zip(words.column("word").to_pylist(), words.column("spans").to_pylist())
-        known = {w: _ids_of(w, s, ids, byte_base) for w, s in spans}
+        joined = dict(zip(words.column("nth").to_pylist(), words.column("joints").to_pylist()))
         find = re.compile(pattern, re.S).findall
+        known: dict[str, bytes] = {}
 
         def lookup(word: str) -> bytes:
             if (found := known.get(word)) is None:
@@ -260,6 +277,9 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
         out_ids, cells, digests, sizes = [], [], [], [0]
         for row_ids, row_sizes, blob in zip(*(chunk.column(c).to_pylist() for c in ("ids", "sizes", "texts"))):
+            known.clear()
+            for nth, word in enumerate(_different(find(prepared((t or b"").decode())) for t in _texts(row_sizes, blob))):
+                known[word] = _ids_of_parts(_parts(word, joined.get(nth, 0)), ids, byte_base)
             out_ids += row_ids
             for raw in _texts(row_sizes, blob):
                 text = None if raw is None else raw.decode()
