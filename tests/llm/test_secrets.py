@@ -51,6 +51,8 @@ def test_models_tell_random_from_ordinary(spark):
     got = {r.doc_id: r for r in secrets.scan(df, table).collect()}
     assert sum(len(got[1000 + i].extra) for i in range(40)) >= 38
     assert sum(len(got[2000 + i].extra) for i in range(25)) == 0
+    more = spark.createDataFrame([("camelCaseIdentifierName", False), ("x9Q" * 9, True)], "token string, random boolean")
+    assert secrets.train(df.filter("doc_id < 1000"), labelled=more) != table
     clean = secrets.redact(secrets.scan(df, table)).filter("doc_id = 0").first().text
     assert clean.startswith("[SECRET] and ")
 

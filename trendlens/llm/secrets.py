@@ -70,9 +70,10 @@ def base_spans(text: Column) -> Column:
                     _matches(text, LONG_HEX, 2))
 
 
-def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> list[float]:
+def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE, labelled: DataFrame | None = None) -> list[float]:
     """The table of log-likelihood ratios, indexed by CODES * first + second
-    (code 0 stands before the token)."""
+    (code 0 stands before the token). ``labelled`` (token string, random
+    boolean) adds samples of other origin to those of the corpus."""
     t = F.coalesce(F.col(text), F.lit(""))
     values = docs.filter(t.rlike(f"{ASSIGN}|{LONG_ACCESS}|{LONG_HEX}")).select(F.explode(F.concat(
         F.regexp_extract_all(t, F.lit(ASSIGN), F.lit(2)), F.regexp_extract_all(t, F.lit(LONG_ACCESS), F.lit(0)),
@@ -80,6 +81,10 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> list[flo
     bare = F.regexp_replace(t, f"{ASSIGN}|{LONG_ACCESS}|{LONG_HEX}", " ")
     plain = docs.select(F.explode(F.regexp_extract_all(bare, F.lit(IDENTIFIER), F.lit(0))).alias("token"))
 
+    if labelled is not None:
+        values = values.union(labelled.filter("random").select("token"))
+        plain = plain.union(labelled.filter("not random").select("token"))
+
     def counts(tokens: DataFrame) -> dict[tuple[int, int], int]:
         chosen = tokens.groupBy("token").agg(F.lit(1).alias("one")) \
             .orderBy(F.xxhash64("token"), "token").limit(sample)
@@ -127,11 +132,11 @@ def scan(docs: DataFrame, table: list[float], text: str = "text", margin: float
     ratio = F.split(F.lit(",".join(map(str, table))), ",").cast("array<double>")
     t = F.coalesce(F.col(text), F.lit(""))
     found = docs.withColumn("base", base_spans(t)).withColumn(
-        "tokens", F.when(t.rlike(TOKEN), _matches(t, TOKEN, 3)).otherwise(F.array().cast(SPAN)))
-    apart = F.filter("tokens", lambda c: ~F.exists(
+        "_tokens", F.when(t.rlike(TOKEN), _matches(t, TOKEN, 3)).otherwise(F.array().cast(SPAN)))
+    apart = F.filter("_tokens", lambda c: ~F.exists(
         "base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
     extra = F.filter(apart, lambda c: _score(F.substr(t, c["start"] + 1, c["stop"] - c["start"]), ratio) > margin)
-    return found.withColumn("extra", F.when(F.size("tokens") > 0, extra).otherwise(F.array().cast(SPAN))).drop("tokens")
+    return found.withColumn("extra", F.when(F.size("_tokens") > 0, extra).otherwise(F.array().cast(SPAN))).drop("_tokens")
 
 
 def digest(found: DataFrame) -> DataFrame:
