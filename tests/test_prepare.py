@@ -1,8 +1,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
-
 from trendlens.plans import OBSERVATION_COLUMNS, prepare
 from trendlens.sources import read_raw_csv
 

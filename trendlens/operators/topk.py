@@ -12,8 +12,6 @@ is kept by a plain filter.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trendlens.functions._cols import as_col
