@@ -43,6 +43,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 LONGEST = 48
 CHUNK_BYTES = 32 << 20  # the larger the chunks, the fewer times a word travels
+BATCH_ROWS = 256  # texts put together at once
 _LETTER = r"[^\W\d_{not_letters}]"
 
 
@@ -263,9 +264,10 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                                            {p: s for p, s, _ in model.rows} if model.kind == "bpe" else None,
                                            model.byte_base))
 
+    schema = pa.schema([("id", pa.int64()), ("pieces", pa.list_(pa.int32())), ("text_sha256", pa.string())])
+
     def run(chunk: pa.Table, words: pa.Table) -> pa.Table:
         pattern, ids, score, byte_base = shared.value
-        joined = dict(zip(words.column("nth").to_pylist(), words.column("joints").to_pylist()))
         find = re.compile(pattern, re.S).findall
         known: dict[str, bytes] = {}
 
@@ -275,24 +277,34 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 found = known[word] = _ids_of_parts(parts, ids, byte_base)
             return found
 
-        out_ids, cells, digests, sizes = [], [], [], [0]
+        def batch(row_ids: list, cells: list, digests: list) -> pa.RecordBatch:
+            sizes = np.cumsum([0, *(len(c or b"") // 4 for c in cells)])
+            flat = pa.array(np.frombuffer(b"".join(c or b"" for c in cells), "<i4"), pa.int32())
+            lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat, mask=pa.array([c is None for c in cells]))
+            return pa.RecordBatch.from_arrays([pa.array(row_ids, pa.int64()), lists, pa.array(digests, pa.string())],
+                                              schema=schema)
+
+        out = []
         for row_ids, row_sizes, blob in zip(*(chunk.column(c).to_pylist() for c in ("ids", "sizes", "texts"))):
+            here = _different(find(prepared((t or b"").decode())) for t in _texts(row_sizes, blob))
+            joints = np.zeros(len(here), np.int64)
+            joints[words.column("nth").to_numpy()] = words.column("joints").to_numpy()
             known.clear()
-            for nth, word in enumerate(_different(find(prepared((t or b"").decode())) for t in _texts(row_sizes, blob))):
-                known[word] = _ids_of_parts(_parts(word, joined.get(nth, 0)), ids, byte_base)
-            out_ids += row_ids
+            for word, bits in zip(here, joints.tolist()):
+                known[word] = _ids_of_parts(_parts(word, bits), ids, byte_base)
+            del here
+            cells, digests, first = [], [], 0
             for raw in _texts(row_sizes, blob):
                 text = None if raw is None else raw.decode()
-                cell = b"".join(map(lookup, find(prepared(text)))) if text is not None else None
-                cells.append(cell)
-                sizes.append(sizes[-1] + len(cell or b"") // 4)
+                cells.append(None if text is None else b"".join(map(lookup, find(prepared(text)))))
                 digests.append(None if text is None else
                                hashlib.sha256(text.replace(SPACE, " ").encode()).hexdigest())
-        flat = pa.array(np.frombuffer(b"".join(c or b"" for c in cells), "<i4"), pa.int32())
-        lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat,
-                                         mask=pa.array([c is None for c in cells]))
-        return pa.table({"id": pa.array(out_ids, pa.int64()), "pieces": lists,
-                         "text_sha256": pa.array(digests, pa.string())})
+                if len(cells) == BATCH_ROWS:
+                    out.append(batch(row_ids[first:first + BATCH_ROWS], cells, digests))
+                    cells, digests, first = [], [], first + BATCH_ROWS
+            if cells:
+                out.append(batch(row_ids[first:], cells, digests))
+        return pa.Table.from_batches(out, schema)
 
     return packed.groupBy("chunk").cogroup(reply.groupBy("chunk")).applyInArrow(
         run, "id long, pieces array<int>, text_sha256 string").withColumnRenamed("id", id_col)
