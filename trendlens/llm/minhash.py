@@ -9,18 +9,24 @@ has a dart, which costs about COORDS x ln(COORDS) darts for a text of any length
 
 1. Equal word sequences are one text: its lowest doc_id goes on alone.
 2. ``BANDS`` bands of ``ROWS`` coordinates put texts into buckets.
-3. A bucket is not expanded into pairs. Each of its texts is compared with one
-   leader, the text that shares most buckets with others; the comparison uses
-   four bits of each coordinate. Candidates go on to step 4. Texts that are not
-   clearly linked to their leader stay for further rounds, in which the bucket
-   is split by two more coordinates (a different choice each round) and has a new
-   leader, until no bucket holds two texts.
+3. Each text of a bucket is compared with one leader, the text that shares most
+   buckets with others; the comparison uses four bits of each coordinate.
 4. Candidates are verified exactly on the whole texts: weighted Jaccard >= 0.8.
 5. Links are contracted to classes by minimum labels and pointer jumping.
-
-A pair of similarity 0.8 shares no bucket with probability (1 - 0.8**5)**25 =
-5e-5; nothing is capped or sampled. A hot bucket is met by partial aggregates
-(leader) and by joins that Spark splits (adaptive skew join).
+6. Two texts of a bucket that are of one class by verified links need no further
+   comparison; all others do. In each bucket the texts outside its most frequent
+   class are compared with all texts of another class (in blocks of ``BLOCK`` texts,
+   so a hot bucket is many tasks), and candidates are verified. Of one text's
+   candidates in one class the most similar come first (``MOST``); as long as
+   some were put off, the classes are made anew and more of them are taken, at
+   last all.
+
+A text never leaves a bucket by an estimate, so recall is that of the bands and of
+the four-bit comparison: a pair of similarity 0.8 shares no bucket with
+probability (1 - 0.8**5)**25 = 5e-5 and agrees in fewer than ``CANDIDATE`` codes
+with 1e-4. Nothing is capped or sampled. Equal or near copies of one text meet
+their leader only; texts that are alike but not linked (0.7, say) are compared in
+pairs, by codes, as far as they share buckets.
 
 Defined results: texts without a word (NULL, empty, symbols only) are classes of
 their own; texts of one to four words have one shingle, all their words; NULL
@@ -49,7 +55,8 @@ COORDS = BANDS * ROWS
 CODE_WORDS = 8  # 16 four-bit codes each
 # Agreeing codes (of 125): a pair of similarity 0.8 has 101.6 +- 4.4.
 CANDIDATE = 85
-LINKED = 98
+BLOCK = 512
+MOST = (4, 64, None)
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MASK = 2**64 - 1
@@ -176,41 +183,126 @@ def _agreeing(a: str, b: str) -> Column:
     return total
 
 
-def _two_codes(round_no: int) -> Column:
-    """Two coordinates' codes, others each round."""
-    def nibble(i):
-        return F.shiftrightunsigned(F.col("code")[i // 16], (i % 16) * 4).bitwiseAND(F.lit(15))
-
-    a, b = (round_no * 37) % COORDS, (round_no * 37 + 61) % COORDS
-    return nibble(a) * 16 + nibble(b)
-
-
-def candidates(texts: DataFrame) -> DataFrame:
-    """Pairs (doc, leader) of texts (doc_id, bands, code), by rounds of leaders."""
+def _buckets(texts: DataFrame) -> DataFrame:
+    """(bucket, doc_id, n) of the buckets of two texts or more."""
     rows = texts.select("doc_id", F.posexplode("bands").alias("band", "h"))
     shared = rows.groupBy("band", "h").agg(F.count("*").alias("n")).filter("n > 1")
-    met = written(rows.join(shared, ["band", "h"]), "minhash-buckets")
+    return written(rows.join(shared, ["band", "h"]).select(F.xxhash64("band", "h").alias("bucket"), "doc_id", "n"),
+                   "minhash-buckets")
+
+
+def candidates(texts: DataFrame, met: DataFrame | None = None) -> DataFrame:
+    """Pairs (doc_id, leader) of texts (doc_id, bands, code) with their buckets' leaders."""
+    met = _buckets(texts) if met is None else met
     score = met.groupBy("doc_id").agg(F.sum(F.log2("n")).alias("score"))
-    open_rows = met.join(texts.select("doc_id", "code").join(score, "doc_id"), "doc_id").select(
-        F.xxhash64("band", "h").alias("bucket"), "doc_id", "score", "code")
-    pairs, round_no = None, 0
-    while True:
-        leader = open_rows.groupBy("bucket").agg(
-            F.count("*").alias("size"),
-            F.max(F.struct("score", (-F.col("doc_id")).alias("neg"), F.col("code").alias("leader_code"))).alias("l"))
-        compared = open_rows.join(leader.filter("size > 1"), "bucket").select(
-            "bucket", "doc_id", "score", "code", (-F.col("l.neg")).alias("leader"),
-            F.col("l.leader_code").alias("leader_code")).filter("doc_id <> leader") \
-            .withColumn("agree", _agreeing("code", "leader_code"))
-        compared = written(compared.drop("leader_code"), "minhash-round")
-        found = compared.filter(F.col("agree") >= CANDIDATE).select("doc_id", "leader").distinct()
-        pairs = found if pairs is None else pairs.unionByName(found)
-        rest = compared.filter(F.col("agree") < LINKED)
-        if rest.isEmpty():
-            return pairs.distinct()
-        round_no += 1
-        open_rows = rest.select(F.xxhash64("bucket", _two_codes(round_no)).alias("bucket"),
-                                "doc_id", "score", "code")
+    rows = met.join(texts.select("doc_id", "code").join(score, "doc_id"), "doc_id")
+    leader = rows.groupBy("bucket").agg(
+        F.max(F.struct("score", (-F.col("doc_id")).alias("neg"), F.col("code").alias("leader_code"))).alias("l"))
+    return rows.join(leader, "bucket").select(
+        "doc_id", "code", (-F.col("l.neg")).alias("leader"), F.col("l.leader_code").alias("leader_code")) \
+        .filter("doc_id <> leader").filter(_agreeing("code", "leader_code") >= CANDIDATE) \
+        .select("doc_id", "leader").distinct()
+
+
+_NIBBLES = np.uint64(0x1111111111111111)
+
+
+def _across(ids: np.ndarray, labels: np.ndarray, codes: np.ndarray, left: np.ndarray, most: int | None):
+    """(doc, other, more) of the candidates of one tile: left texts with right
+    texts of another label. ``more`` marks a place after the ``most`` best that a
+    text has in one label."""
+    li, ri = np.flatnonzero(left), np.flatnonzero(~left)
+    agree = np.full((len(li), len(ri)), COORDS - CODE_WORDS * 16, np.int16)
+    for i in range(CODE_WORDS):
+        x = codes[li, i][:, None] ^ codes[ri, i][None, :]
+        x |= x >> np.uint64(2)
+        x |= x >> np.uint64(1)
+        agree += 16 - np.bitwise_count(x & _NIBBLES).astype(np.int16)
+    a, b = np.nonzero((agree >= CANDIDATE) & (labels[li][:, None] != labels[ri][None, :]))
+    agree, a, b = agree[a, b], li[a], ri[b]
+    order = np.lexsort((ids[b], -agree, labels[b], a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (labels[b[1:]] != labels[b[:-1]])
+    first = np.flatnonzero(new)
+    rank = np.arange(len(a)) - np.repeat(first, np.diff(np.append(first, len(a))))
+    most = len(a) if most is None else most
+    kept = rank <= most
+    return ids[a[kept]], ids[b[kept]], rank[kept] == most
+
+
+def across(texts: DataFrame, met: DataFrame, labels: DataFrame, most: int | None) -> DataFrame:
+    """(doc_id, leader, more): candidates of different labels within a bucket.
+
+    Buckets of two texts are done by their leader. Of the others, texts outside
+    the most frequent label (k of n) are dealt to k / BLOCK rows of tiles, all texts
+    to n / BLOCK columns."""
+    rows = met.filter("n > 2").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "bucket", "doc_id", "n", F.coalesce("label", "doc_id").alias("label"))
+    home = rows.groupBy("bucket", "label").agg(F.count("*").alias("c")).groupBy("bucket").agg(
+        F.max(F.struct("c", "label")).alias("most"), F.count("*").alias("labels")).filter("labels > 1").select(
+        "bucket", F.col("most.label").alias("home"), F.col("most.c").alias("c"))
+
+    def blocks(n):
+        return F.ceil(n / F.lit(BLOCK)).cast("int")
+
+    def tile(i, j, left):
+        return F.struct(F.xxhash64("bucket", i, j).alias("tile"), F.lit(left).alias("left"))
+
+    down, along = blocks(F.col("n") - F.col("c")), blocks(F.col("n"))
+    own = F.xxhash64("doc_id")
+    row, column = F.pmod(own, down).cast("int"), F.pmod(own, along).cast("int")
+    as_right = F.transform(F.sequence(F.lit(0), down - 1), lambda i: tile(i, column, False))
+    as_left = F.transform(F.sequence(F.lit(0), along - 1), lambda j: tile(row, j, True))
+    dealt = rows.join(home, "bucket").select(
+        "doc_id", "label", F.explode(F.when(F.col("label") == F.col("home"), as_right)
+                                     .otherwise(F.concat(as_right, as_left))).alias("t")) \
+        .join(texts.select("doc_id", "code"), "doc_id") \
+        .select("t.tile", "t.left", "doc_id", "label", "code").repartition("tile").sortWithinPartitions("tile")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(tiles, left, ids, labels, codes):
+            cuts = [0, *(np.flatnonzero(np.diff(tiles)) + 1).tolist(), len(tiles)]
+            parts = [_across(ids[a:b], labels[a:b], codes[a:b], left[a:b], most) for a, b in zip(cuts, cuts[1:])]
+            a, b, more = (np.concatenate(x) for x in zip(*parts))
+            return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(more)],
+                                              names=["doc_id", "leader", "more"])
+
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tiles, ids, labels = (batch.column(i).to_numpy() for i in (0, 2, 3))
+            left = batch.column(1).to_numpy(zero_copy_only=False)
+            codes = batch.column(4).flatten().to_numpy().view(np.uint64).reshape(-1, CODE_WORDS)
+            now = (tiles, left, ids, labels, codes)
+            if held is not None:
+                now = tuple(np.concatenate(x) for x in zip(held, now))
+            last = int(np.searchsorted(now[0], now[0][-1]))  # the last tile may go on
+            if last:
+                yield found(*(x[:last] for x in now))
+            held = tuple(x[last:].copy() for x in now)
+        if held is not None:
+            yield found(*held)
+
+    return dealt.mapInArrow(run, "doc_id long, leader long, more boolean")
+
+
+def linked(texts: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Verified links (doc_id, leader) that join all texts of a class."""
+    met = _buckets(texts)
+    tested = written(candidates(texts, met), "minhash-pairs")
+    links = written(verified(tested, docs, id_col, text), "minhash-links")
+    for most in MOST:
+        found = written(across(texts, met, components(links), most), "minhash-across")
+        pairs = found.filter("not more").select("doc_id", "leader").distinct()
+        before = tested.select(F.greatest("doc_id", "leader").alias("doc_id"), F.least("doc_id", "leader").alias("leader"))
+        pairs = written(pairs.join(before, ["doc_id", "leader"], "left_anti"), "minhash-pairs")
+        links = links.unionByName(written(verified(pairs, docs, id_col, text), "minhash-links"))
+        if found.filter("more").isEmpty():
+            break
+        tested = tested.unionByName(pairs)
+    return links
 
 
 def similarity(left, right) -> np.ndarray:
@@ -271,7 +363,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     sigs = written(signatures(docs, id_col, text), "minhash-signatures")
     texts = sigs.groupBy("key").agg(F.min(F.struct("doc_id", "bands", "code")).alias("m")).select(
         "key", "m.doc_id", "m.bands", "m.code")
-    found = verified(candidates(texts.select("doc_id", "bands", "code")), docs, id_col, text)
+    found = linked(texts.select("doc_id", "bands", "code"), docs, id_col, text)
     copies = sigs.select("doc_id", "key").join(
         texts.select("key", F.col("doc_id").alias("leader")), "key").select("doc_id", "leader").filter("doc_id <> leader")
     labels = components(written(found.unionByName(copies), "minhash-links"))
