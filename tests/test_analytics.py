@@ -28,6 +28,17 @@ def test_view_change_retitled_video_not_duplicated(spark):
     assert [r["views_difference"] for r in v1] == [None, 5, 15]
 
 
+def test_fastest_growth_of_fewer_items_than_k(spark):
+    """Two items, retitled daily: every (item, title) with a growth has a place in the top 20."""
+    rows = [obs_row(video=v, day=d, views=f * d * d, title=f"{v} day {d}") for v, f in (("v1", 1), ("v2", 10))
+            for d in range(1, 6)]
+    out = plans.fastest_growth_videos(obs_frame(spark, rows))
+    got = {(r["video_id"], r["title"]): r["max_daily_views_growth"] for r in out.collect()}
+    assert got == {(v, f"{v} day {d}"): f * (2 * d - 1) for v, f in (("v1", 1), ("v2", 10)) for d in range(2, 6)}
+    best = plans.fastest_growth_videos(obs_frame(spark, rows), k=2).collect()
+    assert [r["title"] for r in best] == ["v2 day 5", "v2 day 4"]
+
+
 def test_fastest_growth_gaps_and_bounds(spark):
     rows = [obs_row(video="a", day=1, views=100), obs_row(video="a", day=2, views=99),   # -1
             obs_row(video="b", day=1, views=100), obs_row(video="b", day=2, views=100),  # 0

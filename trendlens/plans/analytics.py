@@ -71,13 +71,16 @@ def fastest_growth_videos(obs: DataFrame, k: int = 20, max_growth: int = MAX_DAI
 
     All rows are reduced on numbers alone (a hash aggregation). Titles are
     fetched for the few days that can reach the top: those whose growth is at
-    least the ``k``-th best of the items' best growths."""
+    least the ``k``-th best of the items' best growths (all days with a growth, if
+    fewer than ``k`` items have one, as their titles share the top)."""
     keys = ["video_id", "region_code"]
     daily = one_per_period(obs, keys, "trending_date", "view_count")
     growth = period_delta(daily, keys, "trending_date", "view_count", prev_value="prev_views",
                           delta="daily_views_growth", gap_days=1, bounds=(0, max_growth))
     peaks = growth.groupBy("video_id").agg(F.max("daily_views_growth").alias("peak"))
-    top = growth.where(F.col("daily_views_growth") >= kth_best(peaks, "peak", k)).select(
+    enough = peaks.where(F.col("peak").isNotNull()).limit(k).agg(F.count("*") >= k).scalar()
+    least = F.when(enough, kth_best(peaks, "peak", k)).otherwise(F.lit(0))
+    top = growth.where(F.col("daily_views_growth") >= least).select(
         *keys, "trending_date", "daily_views_growth")
     days = [*keys, "trending_date"]
     same_day = [F.col(f"o.{c}").eqNullSafe(F.col(f"t.{c}")) for c in days]
