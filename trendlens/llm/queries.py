@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trendlens.llm import chat, decontaminate, lines, minhash, pieces, quality, secrets, suffix, tokens, urls
+from trendlens.llm import (chat, decontaminate, lines, minhash, pieces, quality, secrets, simhash, suffix, tokens,
+                           urls)
 from trendlens.llm.common import read
 
 # Fixed value: the added conversation -1 says this in both turns.
@@ -74,6 +75,11 @@ def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.cluster(read(spark, sf_dir, "documents")).select(
+        "doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_suffix": op1_suffix,
     "op2_chat": op2_chat,
@@ -85,6 +91,7 @@ QUERIES = {
     "op8_tokens": op8_tokens,
     "op9_secrets": op9_secrets,
     "op10_pieces": op10_pieces,
+    "op11_simhash": op11_simhash,
 }
 
 ORACLE = {
