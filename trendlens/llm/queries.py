@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trendlens.llm import (chat, decontaminate, lines, minhash, pieces, quality, secrets, simhash, suffix, tokens,
-                           urls)
+from trendlens.llm import (chat, decontaminate, lines, minhash, periods, pieces, quality, repair, secrets, simhash,
+                           suffix, tokens, urls)
 from trendlens.llm.common import read
 
 # Fixed value: the added conversation -1 says this in both turns.
@@ -80,6 +80,34 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", periods.planted().alias("text"))
+    found = periods.find(docs).withColumn("best", periods.greatest())
+    listed = F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    lines_of_runs = F.array_join(F.transform(listed, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        *(F.col("best").getField(c).alias(c) for c in ("start", "length", "period")),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(lines_of_runs, 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations")
+    judged = repair.judge(repair.damaged(rows))
+    planned = repair.plans(judged)
+    out = rows.select("conv_id").distinct().alias("c")
+    for table in (repair.summary(judged), planned, repair.digests(repair.repaired(judged, planned))):
+        t = table.withColumnRenamed("conv_id", "id").alias("t")
+        out = out.join(t, F.col("c.conv_id").eqNullSafe(F.col("t.id")), "left").drop("id").alias("c")
+    return out.select(
+        "conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c)
+                     for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_suffix": op1_suffix,
     "op2_chat": op2_chat,
@@ -92,6 +120,8 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_pieces": op10_pieces,
     "op11_simhash": op11_simhash,
+    "op12_periods": op12_periods,
+    "op13_repair": op13_repair,
 }
 
 ORACLE = {
