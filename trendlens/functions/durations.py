@@ -26,8 +26,10 @@ def _unit(text: Column, pattern: str, kind: str) -> Column:
 
 
 def _seconds(text, h: str, m: str, s: str, kind: str) -> Column:
+    """NULL if the sum is too large for a BIGINT."""
     t = as_col(text)
-    return _unit(t, h, kind) * 3600 + _unit(t, m, kind) * 60 + _unit(t, s, kind)
+    hours, minutes = F.try_multiply(_unit(t, h, kind), F.lit(3600)), F.try_multiply(_unit(t, m, kind), F.lit(60))
+    return F.try_add(F.try_add(hours, minutes), _unit(t, s, kind))
 
 
 def prepared_duration_seconds(text) -> Column:
@@ -38,8 +40,9 @@ def prepared_duration_seconds(text) -> Column:
 
 
 def stream_duration_seconds(text) -> Column:
-    """Seconds as BIGINT with unanchored unit patterns."""
-    return _seconds(text, STREAM_HOURS, STREAM_MINUTES, STREAM_SECONDS, "bigint")
+    """Seconds as BIGINT with unanchored unit patterns. A unit too long for a
+    BIGINT counts 0 by itself; a total too large for one gives 0."""
+    return F.coalesce(_seconds(text, STREAM_HOURS, STREAM_MINUTES, STREAM_SECONDS, "bigint"), F.lit(0).cast("bigint"))
 
 
 # The reference's bucket labels and edges (seconds).

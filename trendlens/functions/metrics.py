@@ -10,10 +10,11 @@ from trendlens.functions._cols import as_col
 def engagement_rate(views="view_count", likes="likes", comments="comment_count") -> Column:
     """``(likes + comments) / views`` when views > 0, else 0.0.
 
-    A NULL likes or comments count gives NULL; dislikes play no part.
+    A NULL likes or comments count gives NULL, as do counts whose sum is too
+    large for their type; dislikes play no part.
     """
     v = as_col(views)
-    return F.when(v > 0, (as_col(likes) + as_col(comments)) / v).otherwise(F.lit(0.0))
+    return F.when(v > 0, F.try_add(as_col(likes), as_col(comments)) / v).otherwise(F.lit(0.0))
 
 
 # Up to this size values are summed exactly, in hundredths; beyond it (and for

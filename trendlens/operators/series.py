@@ -46,7 +46,8 @@ def period_delta(df: DataFrame, keys, order: str, value: str,
                  delta: str = "delta", gap_days: int | None = None,
                  bounds: tuple | None = None) -> DataFrame:
     """Previous row's ``value`` (and optionally ``order``) within ``keys`` and
-    the difference. Both lags share one window, so Spark sorts once.
+    the difference (NULL if it is too large for its type). Both lags share one
+    window, so Spark sorts once.
 
     ``gap_days`` keeps only rows whose previous row lies exactly that many
     days earlier (``order`` a date); ``bounds`` keeps deltas within
@@ -57,7 +58,7 @@ def period_delta(df: DataFrame, keys, order: str, value: str,
     out = df.withColumn(prev_value, F.lag(value).over(w))
     if prev_order or gap_days is not None:
         out = out.withColumn(prev_o, F.lag(order).over(w))
-    out = out.withColumn(delta, F.col(value) - F.col(prev_value))
+    out = out.withColumn(delta, F.try_subtract(F.col(value), F.col(prev_value)))
     if gap_days is not None:
         out = out.where(F.col(prev_value).isNotNull()
                         & (F.datediff(order, prev_o) == gap_days))

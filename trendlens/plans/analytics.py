@@ -20,11 +20,12 @@ MAX_DAILY_GROWTH = 200_000_000
 
 
 def popularity_over_time(obs: DataFrame, window_rows: int = 7) -> DataFrame:
-    """A1: per trending day average/total views and row count, plus the
-    average of the daily averages over the last ``window_rows`` days present."""
+    """A1: per trending day average/total views (NULL if too large for a BIGINT)
+    and row count, plus the average of the daily averages over the last
+    ``window_rows`` days present."""
     daily = obs.groupBy("trending_date").agg(
         F.avg("view_count").alias("average_views"),
-        F.sum("view_count").alias("total_views"),
+        F.try_sum("view_count").alias("total_views"),
         F.count("video_id").alias("video_count"),
     )
     return moving_average(daily, "average_views", "trending_date", window_rows,
