@@ -217,5 +217,71 @@ k AS (SELECT d.*, list_filter(lines, lambda x: regexp_matches(x, '^\s*$') OR NOT
 SELECT doc_id, source, CASE WHEN text IS NOT NULL THEN array_to_string(kept, chr(10)) END AS text,
     len(list_filter(lines, lambda x: NOT regexp_matches(x, '^\s*$'))) AS n_lines,
     len(lines) - len(kept) AS n_dropped FROM k
+""",
+    "op13_repair": r"""
+WITH crc AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1)
+    ELSE c >> 1 END, i) ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i)),
+given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, list_transform(string_split(
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+    lambda x: CAST(ascii(x) AS BIGINT)) AS key FROM conversations),
+hashed AS (SELECT conv_id, turn, role, text, xor(list_reduce(key, lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8),
+    4294967295), 4294967295) % 20 AS kind FROM given, crc),
+damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE WHEN kind = 1 THEN ''
+    WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy FROM hashed WHERE kind <> 0),
+placed AS (SELECT *, left(role, 1) AS head, row_number() OVER w AS n, lag(left(role, 1)) OVER w AS before FROM damaged
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM placed),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before || head NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+moves AS (SELECT conv_id, n, k, head, role || ':' || text AS line, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000
+    WHEN fault = 'truncated' THEN 5 ELSE 0 END AS price, role, text FROM judged, (SELECT unnest([0, 1]) AS k)
+    UNION ALL SELECT conv_id, max(n) + 1, 0, '', '', 0, '', '' FROM judged GROUP BY conv_id),
+folded AS (SELECT conv_id, list_reduce(list({'k': k, 'head': head, 'line': line, 'price': price, 'text': text} ORDER BY n, k),
+    lambda s, x: CASE WHEN x.k = 0 THEN {insert} ELSE {row} END, {start}) AS s FROM moves GROUP BY conv_id),
+ended AS (SELECT conv_id, list_min([s.e, s.a]) AS b FROM folded)
+SELECT id AS conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(b.cost, 0) AS BIGINT) AS cost,
+    coalesce(b.audit, '') AS audit, sha256(coalesce(substr(b.lines, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id AS id FROM conversations) i LEFT JOIN counts ON id IS NOT DISTINCT FROM counts.conv_id
+    LEFT JOIN ended ON id IS NOT DISTINCT FROM ended.conv_id
 """,
 }
+
+
+def _repair_moves() -> dict[str, str]:
+    """The fold of op13's SQL: the best (cost, audit, lines) for each state of the
+    grammar (e: nothing, o: after s, u, a), before each row with one insert or none."""
+    def way(state: str, edit: str, cost: str, line: str | None = None) -> str:
+        lines = f"s.{state}.lines" + (f" || chr(10) || {line}" if line else "")
+        return f"{{'cost': s.{state}.cost + {cost}, 'audit': s.{state}.audit || '{edit}', 'lines': {lines}}}"
+
+    def keep(state: str, head: str) -> str:
+        return way(state, "K", f"x.price + CASE WHEN x.head = '{head}' THEN 0 ELSE 1000000 END", "x.line")
+
+    def role(state: str, name: str) -> str:
+        return way(state, "R", "x.price + 1", f"'{name}:' || x.text")
+
+    def least(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    def states(e: str, o: str, u: str, a: str) -> str:
+        return f"{{'e': {e}, 'o': {o}, 'u': {u}, 'a': {a}}}"
+
+    none = "{'cost': 1000000, 'audit': '', 'lines': ''}"
+    return {
+        "{insert}": states("s.e", "s.o", least("s.u", *(way(t, "I", "5", "'user:'") for t in "eoa")),
+                           least("s.a", way("u", "I", "5", "'assistant:'"))),
+        "{row}": states(way("e", "D", "2"), least(way("o", "D", "2"), keep("e", "s")),
+                        least(way("u", "D", "2"), *(f(t, n) for t in "eoa" for f, n in ((keep, "u"), (role, "user")))),
+                        least(way("a", "D", "2"), keep("u", "a"), role("u", "assistant"))),
+        "{start}": states("{'cost': 0, 'audit': '', 'lines': ''}", none, none, none),
+    }
+
+
+for _name, _sql in _repair_moves().items():
+    ORACLE["op13_repair"] = ORACLE["op13_repair"].replace(_name, _sql)
