@@ -24,6 +24,33 @@ def explode_tags(df: DataFrame, col: str = "tags", sep: str = TAG_SEPARATOR,
     return df.withColumn(name, F.explode(tag_array(col, sep)))
 
 
+def frequent_tags(df: DataFrame, share: float, col: str = "tags", sep: str = TAG_SEPARATOR,
+                  tracked: int = 4096) -> DataFrame:
+    """(tag, estimate, least, total): the tags that may hold at least ``share`` of all
+    tag occurrences, from a sketch of bounded size, whatever the vocabulary.
+
+    Each task keeps at most ``tracked`` counters, and the counters of all tasks are
+    merged into one sketch of that size: memory does not grow with the number of
+    different tags, nor does what is shuffled. The sketch drops counts when it is full;
+    a tag is off by at most ``max_error`` = 3.5 / (its map's size) of the total. So every
+    tag that truly reaches ``share`` is returned, and a returned tag occurs at least
+    ``least`` times. With at most ``tracked`` different tags the counts are exact (then
+    ``least`` is still the guaranteed bound, not the count)."""
+    if not 0 < share <= 1:
+        raise ValueError("share must be within (0, 1]")
+    slots = 1 << max(3, -(-4 * tracked // 3) - 1).bit_length()  # the size of the sketch's map
+    max_error = 3.5 / slots
+    if max_error >= share:
+        raise ValueError(f"{tracked} tracked tags cannot tell a share of {share}")
+    k = min(tracked, int(1 / (share - max_error)) + 1)  # no more tags can look that frequent
+    found = explode_tags(df.select(col), col, sep).agg(
+        F.expr(f"approx_top_k(tag, {k}, {tracked})").alias("top"), F.count("*").alias("total"))
+    rows = found.select("total", F.inline("top")).withColumnRenamed("item", "tag")
+    error = F.ceil(F.col("total") * max_error).cast("bigint")
+    return rows.where(F.col("count") + error >= F.col("total") * share).select(
+        "tag", F.col("count").alias("estimate"), F.greatest(F.col("count") - error, F.lit(0)).alias("least"), "total")
+
+
 def sorted_pairs(arr, joiner: str = TAG_SEPARATOR) -> Column:
     """All ``a[i] || joiner || a[j]`` with i < j of a sorted copy of ``arr``.
 

@@ -97,13 +97,14 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "events", "ts", "user_id", "event_type", "value", "props")
+    return read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
 
 
 def _event_columns(ev: DataFrame) -> DataFrame:
     chan = (F.col("user_id") % STREAM_CHANNELS).cast("string")
     return ev.select(
         "ts",
+        "event_id",
         F.col("user_id").cast("string").alias("video_id"),
         chan.alias("channel_id"),
         F.concat(F.lit("Channel#"), chan).alias("channel_title"),
@@ -121,7 +122,9 @@ def stream_messages(spark: SparkSession, sf_dir: str, partitions: int | None = N
     microseconds and a ``+00:00`` offset); the transport timestamp is the same
     instant. With ``stamps="mixed"`` the layout goes by ``user_id % 4`` (plain,
     ISO, empty, malformed) and the transport time is a day later, so that every
-    way to an event time is taken.
+    way to an event time is taken. With ``stamps="faulty"`` four of fifty messages
+    are spoilt, by ``event_id % 50``: 0 is cut short, 1 is stamped in the year 9999,
+    2 is stamped thirty days early, 3 has no transport time.
 
     The scan's own splits are kept; ``partitions`` deals the rows out evenly
     (without a key, so no hot item can gather in one task).
@@ -136,6 +139,11 @@ def stream_messages(spark: SparkSession, sf_dir: str, partitions: int | None = N
         iso = (F.when(kind == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).when(kind == 1, iso)
                .when(kind == 2, F.lit("")).otherwise(F.lit("yesterday, about noon")))
         sent = sent + F.expr("INTERVAL 1 DAY")
+    fault = F.col("event_id") % 50
+    if stamps == "faulty":
+        early = F.date_format(F.col("ts") - F.expr("INTERVAL 30 DAYS"), "yyyy-MM-dd HH:mm:ss")
+        iso = F.when(fault == 1, F.lit("9999-12-31 23:59:59")).when(fault == 2, early).otherwise(iso)
+        sent = F.when(fault != 3, sent)
     payload = F.struct(
         iso.alias("collected_at"),
         F.col("region_code"),
@@ -146,9 +154,12 @@ def stream_messages(spark: SparkSession, sf_dir: str, partitions: int | None = N
         F.col("view_count"),
         F.concat(F.lit("PT"), F.col("k"), F.lit("M")).alias("duration"),
     )
+    body = F.to_json(payload)
+    if stamps == "faulty":
+        body = F.when(fault == 0, F.substring(body, 1, 12)).otherwise(body)
     return e.select(
         F.col("video_id").cast("binary").alias("key"),
-        F.to_json(payload).cast("binary").alias("value"),
+        body.cast("binary").alias("value"),
         sent.alias("timestamp"),
     )
 

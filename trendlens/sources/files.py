@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """Raw CSV with a header, ``"`` quotes, ``""`` escapes and quoted
-    newlines. Without ``schema`` every column is read as text (no inference
-    pass); ``prepare`` types them. ``multiLine`` files cannot be split, so
-    land the raw data as many files, or convert it once to Parquet."""
+def read_raw_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
+                 multi_line: bool = True) -> DataFrame:
+    """Raw CSV with a header, ``"`` quotes, ``""`` escapes and, with
+    ``multi_line``, quoted newlines. Without ``schema`` every column is read as text
+    (no inference pass); ``prepare`` types them. A file that may hold quoted newlines
+    cannot be split: it is one task. Turn ``multi_line`` off for files without them,
+    and a large file is read by as many tasks as it has splits."""
     reader = (spark.read.option("header", "true").option("quote", '"')
-              .option("escape", '"').option("multiLine", "true"))
+              .option("escape", '"').option("multiLine", str(multi_line).lower()))
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", "false")
     return reader.csv(path)
@@ -43,6 +47,17 @@ def write_observations(df: DataFrame, path: str, partition_by: str | None = "reg
     w.parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str] = ("video_id", "region_code"),
+                   order: str = "trending_date", n_buckets: int = 64) -> None:
+    """Replace the table ``table`` (files under ``path``), bucketed by ``keys`` and sorted
+    within the buckets. Aggregations, windows and joins on these keys then need no
+    shuffle: the rows of one key lie in one bucket, read by one task. Choose as many
+    buckets as tasks that the largest reader should have. Rows are dealt by the keys
+    first, so each bucket is one file."""
+    (df.repartition(n_buckets, *keys).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(n_buckets, *keys).sortBy(*keys, order).saveAsTable(table))
+
+
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -273,3 +273,82 @@ SELECT CAST(user_id AS VARCHAR) AS video_id,
 FROM events""",
     "stream_duration": _MSG + "SELECT DISTINCT duration, duration_sec FROM msg",
 })
+
+# Stored and streamed features ---------------------------------------------------------------
+
+_LAST = "(SELECT max(event_time) - INTERVAL 30 SECONDS FROM ev)"  # how far the watermark gets
+
+# Four of fifty messages are spoilt, by their id; the others are accepted.
+_FAULTY = """
+WITH spoilt AS (
+  SELECT *, CASE event_id % 50 WHEN 0 THEN 'malformed' WHEN 1 THEN 'future' WHEN 2 THEN 'late' WHEN 3 THEN 'untimed'
+         ELSE 'accepted' END AS verdict FROM events)
+"""
+
+ORACLE.update({
+    "fresh_within_ttl_stream": EV + """
+, gaps AS (
+  SELECT event_time, event_time - lag(event_time) OVER (PARTITION BY video_id ORDER BY event_time) AS since FROM ev)
+SELECT count(*) AS fresh_count, CAST(time_bucket(INTERVAL '1 hour', event_time) AS VARCHAR) AS window_start
+FROM gaps WHERE (since IS NULL OR since > INTERVAL 12 HOURS) AND event_time <= """ + _LAST + """
+GROUP BY 2""",
+
+    "trending_freshness_append_stream": EV + """
+, seen AS (SELECT time_bucket(INTERVAL '1 hour', min(event_time)) AS ws FROM ev GROUP BY video_id)
+SELECT count(*) AS fresh_count, CAST(ws AS VARCHAR) AS window_start FROM seen
+WHERE ws + INTERVAL '1 hour' <= """ + _LAST + " GROUP BY ws",
+
+    "rejected_messages_stream": _FAULTY + """
+SELECT verdict, count(*) AS n_messages FROM spoilt GROUP BY verdict""",
+
+    "duration_distribution_guarded_stream": EV.replace("FROM events", "FROM events WHERE event_id % 50 > 3") +
+    _STREAM["duration_distribution"][len(EV):],
+
+    "duration_distribution_twice_stream": _STREAM["duration_distribution"],
+
+    "first_seen_state_stream": EV + "SELECT video_id, min(event_time) AS first_seen FROM ev GROUP BY video_id",
+
+    "channel_regional_reach_upsert_stream": _STREAM["channel_regional_reach"],
+
+    "channel_reach_by_day_stream": EV + """
+SELECT CAST(ws AS DATE) AS day, channel_title, count(DISTINCT region_code) AS regional_reach
+FROM ev GROUP BY day, channel_title""",
+})
+
+# Gaps and islands: a session begins where the item's last message lies further back than the gap.
+_SESSIONS = EV + """
+, marked AS (
+  SELECT *, CASE WHEN event_time - lag(event_time) OVER w <= INTERVAL 6 HOURS THEN 0 ELSE 1 END AS begins
+  FROM ev WINDOW w AS (PARTITION BY video_id ORDER BY event_time))
+, numbered AS (
+  SELECT *, sum(begins) OVER (PARTITION BY video_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS nth FROM marked)
+, found AS (
+  SELECT video_id, min(event_time) AS first_at, max(event_time) AS last_at, count(*) AS n_messages,
+         max(view_count) AS max_views FROM numbered GROUP BY video_id, nth)
+SELECT * FROM found"""
+
+ORACLE.update({
+    "item_sessions": _SESSIONS,
+    "item_sessions_stream": _SESSIONS + f" WHERE last_at + INTERVAL 6 HOURS <= {_LAST}",
+    "daily_popularity": ORACLE["popularity_over_time"],
+    "daily_breakdowns": OBS + """
+, a2 AS (SELECT category_id, category_name, count(*) AS n FROM obs GROUP BY 1, 2
+  ORDER BY n DESC, category_id ASC NULLS FIRST, category_name ASC NULLS FIRST LIMIT 10)
+, a10 AS (SELECT category_id, category_name, avg(comment_count) AS v FROM obs GROUP BY 1, 2
+  ORDER BY v DESC NULLS LAST, category_id ASC NULLS FIRST, category_name ASC NULLS FIRST LIMIT 20)
+SELECT 'number_of_videos' AS question, category_name AS label, CAST(n AS DOUBLE) AS value FROM a2
+UNION ALL SELECT 'average_engagement', region_code, avg(engagement) FROM obs GROUP BY region_code
+UNION ALL SELECT 'average_views', region_code, avg(view_count) FROM obs GROUP BY region_code
+UNION ALL SELECT 'average_comments', category_name, v FROM a10
+UNION ALL SELECT 'average_likes', CAST(dayofweek(trending_date) + 1 AS VARCHAR), avg(likes) FROM obs GROUP BY 2
+UNION ALL SELECT 'video_count', CAST(dayofweek(trending_date) + 1 AS VARCHAR), CAST(count(video_id) AS DOUBLE)
+  FROM obs GROUP BY 2""",
+    "fastest_growth_bucketed": ORACLE["fastest_growth_videos"],
+    # The vocabulary fits the sketch, so its counts are exact; 3.5 / 8192 of the total is its bound.
+    "frequent_tag_sketch": OBS + """
+, t AS (SELECT unnest(string_split(tags, '|')) AS tag FROM obs WHERE tags IS NOT NULL)
+, c AS (SELECT tag, count(*) AS n, sum(count(*)) OVER () AS total FROM t GROUP BY tag)
+, e AS (SELECT *, CAST(ceil(total * 3.5 / 8192) AS BIGINT) AS error FROM c)
+SELECT tag, n AS estimate, greatest(n - error, 0) AS least, CAST(total AS BIGINT) AS total FROM e
+WHERE n + error >= total * 0.01""",
+})
