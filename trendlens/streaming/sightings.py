@@ -108,14 +108,15 @@ class _Runs(StatefulProcessor):
         return iter(())
 
     def _set(self, runs: list[list]) -> None:
-        """Keep the runs; their timers are when each can be emitted or dropped."""
+        """Keep the runs; their timers are when each can be emitted and dropped. Both are
+        set at once, so one advance of the watermark can do both."""
         if not runs:
             self.runs.clear()
             return
         self.runs.update(tuple(list(c) for c in zip(*runs)))
         due = {self._due(start) for start, _, emitted in runs if not emitted}
         if self.ttl is not None:
-            due |= {self._due(end + self.ttl) for _, end, emitted in runs if emitted}
+            due |= {self._due(end + self.ttl) for _, end, _ in runs}
         for at in due - set(self.handle.listTimers()):
             self.handle.registerTimer(at)
 
