@@ -21,10 +21,19 @@ from trendlens.llm import decontaminate, lines, minhash, pieces, quality
 from trendlens.llm.common import read, written
 
 
-def _same_columns(result: DataFrame, docs: DataFrame) -> DataFrame:
-    """The columns of ``docs``, with n_chars (where there is one) of the new text."""
-    return result.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
-                           for c in docs.columns])
+def _carried(docs: DataFrame, operate) -> DataFrame:
+    """The result of an operator with all columns of ``docs``, whatever their names:
+    the operator sees doc_id, source and text, and all other columns travel in one
+    struct. n_chars, where there is one, is that of the new text."""
+    rest = [c for c in docs.columns if c != "text"]
+    result = operate(docs.select("doc_id", "source", "text", F.struct(*rest).alias("row")))
+
+    def column(c: str):
+        if c == "text":
+            return F.col("text")
+        return (F.length("text").cast(docs.schema[c].dataType) if c == "n_chars" else F.col("row").getField(c)).alias(c)
+
+    return result.select(*[column(c) for c in docs.columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,20 +41,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _same_columns(lines.drop_boilerplate(docs), docs)
+    return _carried(docs, lines.drop_boilerplate)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.keep_first(docs)
+    return _carried(docs, minhash.keep_first)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _same_columns(decontaminate.remove(docs, read(spark, sf_dir, "benchmark")), docs)
+    return _carried(docs, lambda d: decontaminate.remove(d, read(spark, sf_dir, "benchmark")))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = pieces.Model.load()
-    back = pieces.decode(pieces.encode(docs, model), model)
+    back = pieces.encode(docs, model, round_trip=True)
     return back.select("doc_id", "text", F.size(F.coalesce("pieces", F.array())).cast("long").alias("n_pieces"),
                        "pieces")
 

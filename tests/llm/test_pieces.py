@@ -73,6 +73,57 @@ def test_merge_fold_equals_heap(spark, library):
         assert got.get(w, list(w)) == P.merged_by_heap(w, score), w
 
 
+def test_long_words_of_unigram_tables(spark):
+    """Runs of any length get the path of the lattice fold, beyond its bound too."""
+    import random
+
+    rng = random.Random(9)
+    scores = {"a": -2.0, "b": -2.5, "ab": -1.0, "abc": -4.25, "c": -1.5, "bc": -3.5, "cab": -2.0}
+    model = P.Model("unigram", tuple((p, s, i) for i, (p, s) in enumerate(scores.items())), 100,
+                    tuple(p.encode() for p in scores), r"[^▁]+|▁", 3)
+    texts = ["ab" * n for n in (24, 25, 26, 500_000)] + ["".join(rng.choice("abcx") for _ in range(n)) for n in (47, 48, 49, 300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.pieces for r in P.encode(df, model).collect()}
+    ids = {p: [i] for i, p in enumerate(scores)}
+    for i, t in enumerate(texts):
+        path = best_path(t, scores, model.unknown)[1] if len(t) < 1000 else [(k, k + 2) for k in range(0, len(t), 2)]
+        want = [i for a, b in path for i in ids.get(t[a:b], [100 + c for c in t[a:b].encode()])]
+        assert got[i][0] == 100 + "▁".encode()[0] and got[i][3:] == want, (i, len(t))
+
+
+def test_decoding_of_any_ids(spark):
+    """Ids that are no whole UTF-8, unknown and empty lists; alone and in the encoder."""
+    model = P.Model.load()
+    rows = [(1, [model.byte_base + 0xC3]), (2, []), (3, None), (4, [0, 1, 2]), (5, [model.byte_base + b for b in " é".encode()]),
+            (6, [model.byte_base + b for b in b"  x"])]
+    df = spark.createDataFrame(rows, "doc_id long, pieces array<int>").coalesce(1)
+    got = {r.doc_id: r.text for r in P.decode(df, model).collect()}
+    assert got == {1: "\ufffd", 2: "", 3: None, 4: "", 5: "é", 6: " x"}
+    texts = [(1, "a  b"), (2, None), (3, ""), (4, "é中 \x00")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in P.encode(docs, model, round_trip=True).collect()) == texts
+
+
+def test_words_and_numbers_survive_packing():
+    import numpy as np
+
+    words = ["", "é▁", "a\nb", "\x00", "中" * 50]
+    assert P._unpack_words(5, P._pack_words(words)).to_pylist() == words
+    assert P._unpack_words(0, P._pack_words([])).to_pylist() == []
+    for numbers in ([0, 1, 65535, 65536, 2**31 - 1], [], [7]):
+        numbers = np.array(numbers, np.int32)
+        assert P._unpack_numbers(P._pack_numbers(numbers)).tolist() == numbers.tolist()
+
+
+def test_small_chunks_give_the_same(spark, library, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    monkeypatch.setattr(P, "CHUNK_CHARS", 5000)
+    monkeypatch.setattr(P, "BATCH_WORDS", 64)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in P.encode(docs, P.Model.load()).collect():
+        assert r.pieces == (None if texts[r.doc_id] is None else library.encode(texts[r.doc_id]))
+
+
 def test_awkward_and_empty(spark, library, awkward, nothing):
     model = P.Model.load()
     got = P.encode(awkward, model).collect()

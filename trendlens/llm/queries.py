@@ -21,9 +21,9 @@ def op1_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)],
-                                  "conv_id long, turn long, role string, text string")
-    log = chat.log_of_rows(rows.unionByName(extra))
+    probe = F.array(*[F.struct(F.lit(-1).cast("long").alias("conv_id"), F.lit(i).cast("long").alias("turn"),
+                               F.lit(role).alias("role"), F.lit(PROBE).alias("text")) for i, role in enumerate(("user", "assistant"))])
+    log = chat.log_of_rows(rows.unionByName(spark.range(1).select(F.inline(probe))))
     return chat.digest(chat.read_back(chat.render(chat.fold(log))))
 
 
@@ -63,7 +63,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.Model.load()
-    back = pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), model), model)
+    back = pieces.encode(read(spark, sf_dir, "documents"), model, round_trip=True)
     return back.select(
         "doc_id", F.size(F.coalesce("pieces", F.array())).cast("long").alias("n_pieces"),
         F.sha2(F.array_join(F.col("pieces").cast("array<string>"), ","), 256).alias("pieces_sha256"),
@@ -150,7 +150,7 @@ hit AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, (SELECT unnest([0, 1
 m AS (SELECT w.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
     len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
     len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(hit.n, 0) AS n_repeat_words,
-    len(list_intersect(list_distinct(string_split(lower(text), ' ')), [{stops}])) AS n_stop,
+    len(list_intersect(list_distinct(list_transform(words, lambda x: lower(x))), [{stops}])) AS n_stop,
     (len(regexp_extract_all(text, '!!\s')) + CASE WHEN text LIKE '%!!' THEN 1 ELSE 0 END) AS n_excl,
     len(list_filter(lines, lambda x: x LIKE '%...' OR x LIKE '%…')) AS n_ell,
     len(list_filter(lines, lambda x: regexp_matches(x, '^\s*[-*•]'))) AS n_bul
@@ -163,7 +163,7 @@ r AS (SELECT *, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS me
     CASE WHEN n_words > 0 THEN n_excl / n_words ELSE 0 END AS excl FROM m),
 j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
     concat_ws(',',
-    CASE WHEN n_words < 50 OR n_words > 100000 THEN 'length' END,
+    CASE WHEN n_words < 50 THEN 'length' END,
     CASE WHEN mean_len < 2 OR mean_len > 12 THEN 'mean_word_length' END,
     CASE WHEN sym > 0.1 THEN 'symbol_ratio' END,
     CASE WHEN n_stop < 2 THEN 'stop_words' END,
@@ -211,7 +211,7 @@ WITH d AS (SELECT doc_id, source, text, coalesce(source, '') AS host,
 l AS (SELECT host, unnest(list_distinct(list_filter(lines, lambda x: NOT regexp_matches(x, '^\s*$')))) AS line FROM d),
 b AS (SELECT host, list(line) AS bad FROM (SELECT host, line, count(*) AS n FROM l GROUP BY ALL)
     JOIN (SELECT host, count(*) AS pages FROM d GROUP BY 1) USING (host)
-    WHERE n >= 10 AND n > 0.05 * pages GROUP BY host),
+    WHERE n > 0.05 * pages AND (n >= 10 OR n >= 2 AND n > 0.8 * pages) GROUP BY host),
 k AS (SELECT d.*, list_filter(lines, lambda x: regexp_matches(x, '^\s*$') OR NOT list_contains(coalesce(bad, []), x))
     AS kept FROM d LEFT JOIN b USING (host))
 SELECT doc_id, source, CASE WHEN text IS NOT NULL THEN array_to_string(kept, chr(10)) END AS text,
