@@ -39,6 +39,28 @@ def test_fastest_growth_of_fewer_items_than_k(spark):
     assert [r["title"] for r in best] == ["v2 day 5", "v2 day 4"]
 
 
+def test_fastest_growth_with_ties_and_retitled_items(spark):
+    """Few different growths, many ties, titles that change, an item without an id."""
+    import random
+
+    rng = random.Random(12)
+    rows = [(rng.choice([None, *(f"v{i}" for i in range(12))]), rng.choice(["US", "DE"]), rng.randint(1, 9), rng.randint(0, 6),
+             rng.choice("xyz")) for _ in range(260)]
+    daily = {}
+    for v, r, d, n, t in rows:
+        old = daily.get((v, r, d), (n, t))
+        daily[v, r, d] = (max(n, old[0]), max(t, old[1]))
+    best = {}
+    for (v, r, d), (n, t) in daily.items():
+        if (v, r, d - 1) in daily and n >= daily[v, r, d - 1][0]:
+            best[v, t] = max(best.get((v, t), 0), n - daily[v, r, d - 1][0])
+    ranked = sorted(best.items(), key=lambda x: (-x[1], x[0][0] or "", x[0][1]))
+    obs = obs_frame(spark, [obs_row(video=v, region=r, day=d, views=n, title=t) for v, r, d, n, t in rows])
+    for k in (1, 3, 7, 100):
+        got = [((r["video_id"], r["title"]), r["max_daily_views_growth"]) for r in plans.fastest_growth_videos(obs, k=k).collect()]
+        assert got == ranked[:k]
+
+
 def test_fastest_growth_gaps_and_bounds(spark):
     rows = [obs_row(video="a", day=1, views=100), obs_row(video="a", day=2, views=99),   # -1
             obs_row(video="b", day=1, views=100), obs_row(video="b", day=2, views=100),  # 0

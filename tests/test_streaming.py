@@ -295,3 +295,26 @@ def test_run_with_processing_time_triggers(spark):
     assert done.wait(30)
     worker.join(5)
     assert _rows(app.result("duration_distribution")) == _rows(_batch(spark, "duration_distribution"))
+
+
+def test_a_restart_with_a_newer_history_has_one_baseline(spark):
+    root = shared_dir(spark, "test-baseline", fresh=True)
+    land_as_stream(stream_messages(spark, SF), f"{root}/input", 1)
+    for views in (5.0, 7.0):
+        hist = spark.createDataFrame([("US", "c", views)], "region_code string, channel_id string, view_count double")
+        app = TrendStreams(spark, root, history=hist, window=W)
+        app.start("current_vs_historical_views", parse_messages(replay_stream(spark, f"{root}/input")),
+                  trigger={"availableNow": True}).awaitTermination()
+        found = app.result("current_vs_historical_views").select("hist_max_views", "hist_avg_views").distinct().collect()
+        assert [tuple(r) for r in found] == [(views, views)]
+        land_as_stream(stream_messages(spark, SF), f"{root}/input", 1)
+
+
+def test_the_manifest_stays_one_file(spark):
+    from trendlens.streaming.sinks import fold_per_key
+    root = shared_dir(spark, "test-manifest", fresh=True)
+    log = BatchLog(root, merge=fold_per_key(["k"], v=F.max), compact_every=1)
+    for i in range(5):
+        log(spark.createDataFrame([("a", i)], "k string, v int"), i)
+    assert sorted(n for n in os.listdir(root) if "manifest" in n and not n.startswith(".")) == ["manifest.json"]
+    assert [tuple(r) for r in log.read(spark).select("k", "v").collect()] == [("a", 4)]

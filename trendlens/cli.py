@@ -1,6 +1,6 @@
 """Command line: the preparation job, any batch question, the stream app.
 
-  python -m trendlens prepare RAW_CSV OBSERVATIONS_DIR [--files-per-region N]
+  python -m trendlens prepare RAW_CSV OBSERVATIONS_DIR [--files-per-region N] [--single-line]
   python -m trendlens query NAME OBSERVATIONS_DIR RESULT_PATH [--region US] [--format parquet]
   python -m trendlens stream --history OBSERVATIONS_DIR --root SHARED_DIR
                              (--kafka SERVERS --topic TOPIC | --files DIR) [--window "30 seconds"]
@@ -59,6 +59,7 @@ def _parser() -> argparse.ArgumentParser:
     pr.add_argument("raw")
     pr.add_argument("out")
     pr.add_argument("--files-per-region", type=int, default=None)
+    pr.add_argument("--single-line", action="store_true", help="no quoted newlines: large files are split")
     q = sub.add_parser("query")
     q.add_argument("name", choices=sorted(QUESTIONS))
     q.add_argument("observations")
@@ -85,7 +86,7 @@ def main(argv: list[str] | None = None, spark=None) -> None:
     args = _parser().parse_args(argv)
     spark = spark or build_session(app_name=f"trendlens-{args.cmd}")
     if args.cmd == "prepare":
-        obs = plans.prepare(read_raw_csv(spark, args.raw))
+        obs = plans.prepare(read_raw_csv(spark, args.raw, multi_line=not args.single_line))
         write_observations(obs, args.out, files_per_partition=args.files_per_region)
     elif args.cmd == "query":
         obs = read_observations(spark, args.observations)

@@ -19,7 +19,7 @@ def to_snake_case(name: str) -> str:
 
     An underscore goes in front of an ASCII capital when the character before it
     is a lowercase letter or digit, or when the capital starts a lowercase run
-    and has any character (other than a newline) before it.
+    and has any character before it.
     """
     out = []
     for i, ch in enumerate(name):
@@ -27,7 +27,7 @@ def to_snake_case(name: str) -> str:
             prev = name[i - 1]
             nxt = name[i + 1] if i + 1 < len(name) else ""
             after_word = _is_lower(prev) or prev.isdigit() and prev.isascii()
-            starts_word = _is_lower(nxt) and prev != "\n"
+            starts_word = _is_lower(nxt)
             if after_word or starts_word:
                 out.append("_")
         out.append(ch)

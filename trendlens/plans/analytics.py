@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from trendlens.functions.durations import prepared_duration_bucket
 from trendlens.operators.series import moving_average, one_per_period, period_delta
 from trendlens.operators.tags import explode_tags, keep_pairable_tags, sorted_pairs, tag_pairs
-from trendlens.operators.topk import kth_best, top_k
+from trendlens.operators.topk import top_k
 
 DEFAULT_REGION = "US"
 # Fixed value: day-over-day growth above this is treated as a data error.
@@ -70,25 +70,23 @@ def fastest_growth_videos(obs: DataFrame, k: int = 20, max_growth: int = MAX_DAI
     """A5: largest growth between two consecutive calendar days of the same
     (item, region), within [0, ``max_growth``], per (item, title); top ``k``.
 
-    All rows are reduced on numbers alone (a hash aggregation). Titles are
-    fetched for the few days that can reach the top: those whose growth is at
-    least the ``k``-th best of the items' best growths (all days with a growth, if
-    fewer than ``k`` items have one, as their titles share the top)."""
+    Only the ``k`` items of the largest growth (of equal ones the first by id) can have
+    a group in the top: each other group comes after one group of each of these. So
+    all rows are reduced on numbers alone (a hash aggregation), and titles are read for
+    those ``k`` items only, which are broadcast."""
     keys = ["video_id", "region_code"]
-    daily = one_per_period(obs, keys, "trending_date", "view_count")
-    growth = period_delta(daily, keys, "trending_date", "view_count", prev_value="prev_views",
-                          delta="daily_views_growth", gap_days=1, bounds=(0, max_growth))
-    peaks = growth.groupBy("video_id").agg(F.max("daily_views_growth").alias("peak"))
-    enough = peaks.where(F.col("peak").isNotNull()).limit(k).agg(F.count("*") >= k).scalar()
-    least = F.when(enough, kth_best(peaks, "peak", k)).otherwise(F.lit(0))
-    top = growth.where(F.col("daily_views_growth") >= least).select(
-        *keys, "trending_date", "daily_views_growth")
-    days = [*keys, "trending_date"]
-    same_day = [F.col(f"o.{c}").eqNullSafe(F.col(f"t.{c}")) for c in days]
-    titled = obs.select(*days, "title").alias("o").join(top.alias("t"), same_day).select(
-        "o.*", "t.daily_views_growth").groupBy(*days, "daily_views_growth").agg(F.max("title").alias("title"))
-    best = titled.groupBy("video_id", "title").agg(
-        F.max("daily_views_growth").alias("max_daily_views_growth"))
+
+    def growth(rows: DataFrame, carry=()) -> DataFrame:
+        daily = one_per_period(rows, keys, "trending_date", "view_count", carry=carry)
+        return period_delta(daily, keys, "trending_date", "view_count", prev_value="prev_views",
+                            delta="daily_views_growth", gap_days=1, bounds=(0, max_growth))
+
+    def peaks(rows: DataFrame, *by: str) -> DataFrame:
+        return rows.groupBy(*by).agg(F.max("daily_views_growth").alias("max_daily_views_growth"))
+
+    items = top_k(peaks(growth(obs), "video_id"), "max_daily_views_growth", k, ["video_id"]).select("video_id").alias("i")
+    chosen = obs.alias("o").join(F.broadcast(items), F.col("o.video_id").eqNullSafe(F.col("i.video_id")), "left_semi")
+    best = peaks(growth(chosen, carry=["title"]), "video_id", "title")
     return top_k(best, "max_daily_views_growth", k, ["video_id", "title"])
 
 

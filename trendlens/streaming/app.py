@@ -104,12 +104,12 @@ class TrendStreams:
         table = self.spark.read.parquet(path)
         return table, Folder(self.spark, path).size() <= self.max_broadcast_bytes
 
-    def _baseline(self) -> DataFrame:
-        """The history's one-row baseline, written once to the shared folder;
-        every micro-batch reads that row back as a scalar subquery."""
-        path = f"{self.root}/state/views_baseline"
-        views_baseline(self._history()).write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+    @property
+    def _baseline(self) -> PublishedTable:
+        """The history's one-row baseline, replaced whenever S5 starts. The result
+        takes it as it is now, for all windows alike, so windows from before a restart
+        with a newer history are compared with the newer one too."""
+        return PublishedTable(f"{self.root}/state/views_baseline")
 
     # starting -------------------------------------------------------------------------------
     def start(self, name: str, parsed: DataFrame, trigger: dict | None = None) -> StreamingQuery:
@@ -126,11 +126,8 @@ class TrendStreams:
             sink = self.log(name, lambda df, _id: P.flag_history(df, channels, small))
             return self._start(name, P.window_channel_updates(parsed, w), sink, trigger)
         if name == "current_vs_historical_views":
-            base = self._baseline().select(F.struct("hist_max_views", "hist_avg_views").alias("b"))
-            sink = self.log(name, lambda df, _id: df.select(
-                "*", base.scalar().getField("hist_max_views").alias("hist_max_views"),
-                base.scalar().getField("hist_avg_views").alias("hist_avg_views")))
-            return self._start(name, P.window_view_updates(parsed, w), sink, trigger)
+            self._baseline.replace(views_baseline(self._history()))
+            return self._start(name, P.window_view_updates(parsed, w), self.log(name), trigger)
         raise KeyError(name)
 
     def start_all(self, parsed: DataFrame, trigger: dict | None = None) -> list[StreamingQuery]:
@@ -170,6 +167,7 @@ class TrendStreams:
             keyed = log.groupBy("window_start", "channel_id").agg(F.max("in_hist").alias("in_hist"))
             return P.overlap_summary(keyed)
         if name == "current_vs_historical_views":
+            base = self._baseline.read(self.spark).select(F.struct("hist_max_views", "hist_avg_views").alias("b")).scalar()
             last = latest_per_key(log, ["window_start"])
-            return P.finish_window_views(last, F.col("hist_max_views"), F.col("hist_avg_views"))
+            return P.finish_window_views(last, base.getField("hist_max_views"), base.getField("hist_avg_views"))
         raise KeyError(name)

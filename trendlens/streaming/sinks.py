@@ -10,6 +10,7 @@ read-modify-write of shared state. Readers merge the log by key:
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -61,8 +62,9 @@ class BatchLog:
     must keep the columns, ``batch_id`` included, and give the same final
     table when the reader's merge runs on top. With ``compact_every`` the sink
     then writes a snapshot of everything up to batch N every that many batches
-    and records N and the snapshot's folder in ``<root>/_manifest``. Readers take
-    the newest recorded snapshot plus the batch folders after it.
+    and records N and the snapshot's folder in ``<root>/manifest.json``, one small file
+    that is replaced in one step. Readers take the recorded snapshot plus the batch
+    folders after it.
 
     A snapshot is made from an earlier one and never from itself: its folder is
     new each time and counts only once the manifest names it, and a replayed
@@ -87,10 +89,6 @@ class BatchLog:
     def _snapshots(self) -> str:
         return f"{self.root}/_snapshots"
 
-    @property
-    def _manifest(self) -> str:
-        return f"{self.root}/_manifest"
-
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         out = self.prepare(batch_df, batch_id) if self.prepare else batch_df
         out.write.mode("overwrite").parquet(self.path(batch_id))
@@ -99,11 +97,10 @@ class BatchLog:
 
     def _latest_snapshot(self, spark: SparkSession) -> tuple[int, str] | None:
         """(last batch, folder name); only a missing manifest means none."""
-        if not Folder(spark, self._manifest).exists():
+        if not Folder(spark, f"{self.root}/manifest.json").exists():
             return None
-        newest = spark.read.schema("upto int, folder string").parquet(self._manifest) \
-            .agg(F.max(F.struct("upto", "folder")).alias("m")).first()["m"]
-        return None if newest is None else (newest["upto"], newest["folder"])
+        newest = json.loads(spark.read.text(f"{self.root}/manifest.json").first()[0])
+        return newest["upto"], newest["folder"]
 
     def _batches(self, spark: SparkSession) -> list[int]:
         prefix = f"{VERSION_COL}="
@@ -117,8 +114,7 @@ class BatchLog:
             return
         folder = f"upto={upto}-{uuid.uuid4().hex}"
         self.merge(self._read(spark, max_batch=upto)).write.parquet(f"{self._snapshots}/{folder}")
-        spark.createDataFrame([(upto, folder)], "upto int, folder string").coalesce(1) \
-            .write.mode("append").parquet(self._manifest)
+        Folder(spark, self.root).replace_text("manifest.json", json.dumps({"upto": upto, "folder": folder}))
         if before is None:
             return
         for batch in self._batches(spark):
