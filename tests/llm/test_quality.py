@@ -52,3 +52,16 @@ def test_own_threshold_table(spark):
     df = spark.createDataFrame([(1, "a b c"), (2, "a")], "doc_id long, text string")
     got = quality.measure(df).withColumn("broken", quality.compile_rules([quality.Rule("few", "n_words", 2, None)]))
     assert {r.doc_id: r.broken for r in got.collect()} == {1: [], 2: ["few"]}
+
+
+def test_size_and_spacing_do_not_matter(spark):
+    """A book is judged like a page, and words are words whatever stands between them."""
+    page = "the river and of the old house was for a long time " * 8 + " ".join(f"leaf{i} stone{i} water{i}" for i in range(60))
+    book = " ".join(f"{page} chapter{i}x{j}" for i in range(10) for j in range(50)) + " ".join(f" w{i}" for i in range(180_000))
+    rows = [(1, page), (2, page.replace(" ", "\n")), (3, page.replace(" ", "\t")), (4, book), (5, page.upper())]
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[4].n_words > 200_000 and got[4].broken_rules == []
+    assert len({got[i].n_stop_words for i in (1, 2, 3, 4, 5)}) == 1 and got[1].n_stop_words == 5
+    assert got[2].broken_rules == got[3].broken_rules == got[1].broken_rules == []
+    other = quality.measure(spark.createDataFrame([(1, "og det er en bog")], "doc_id long, text string"), stop_words=("og det er",))
+    assert other.first().n_stop_words == 3

@@ -6,8 +6,13 @@ function, no shuffle, and every document is judged on its own row.
 
 Defined results: a NULL or empty text has no words, lines or symbols, so all
 measures are 0, ratios over nothing are 0, and the base check fails it. Rows are
-never merged, so repeated documents are judged once each. Extra columns of the
-input are kept after the operator's own; a clashing one is replaced.
+never merged, so repeated documents are judged once each, and no ties arise. A
+document is never rejected for its size alone, above the least number of words.
+Extra columns of the input are kept after the operator's own; a clashing one is
+replaced.
+
+The stop words are those of four languages (``STOP_WORDS``); text of any other
+language holds too few of them and is rejected, unless its own are given.
 """
 
 from __future__ import annotations
@@ -41,7 +46,7 @@ class Rule:
 
 # The threshold table. Ratios are per word, per line or per character.
 RULES = (
-    Rule("length", "n_words", 50, 100_000),
+    Rule("length", "n_words", 50, None),
     Rule("mean_word_length", "mean_word_chars", 2, 12),
     Rule("symbol_ratio", "symbols_per_word", None, 0.1),
     Rule("stop_words", "n_stop_words", 2, None),  # different ones
@@ -87,15 +92,16 @@ def _repeat_words(words: str) -> Column:
     return F.when(n < 4, F.lit(0)).otherwise(union)
 
 
-def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: the id and every measure that rules can use."""
+def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stop_words=STOP_WORDS) -> DataFrame:
+    """One row per input row: the id and every measure that rules can use. The
+    stop words are given as lists of words in lower case, separated by spaces."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     spaced = F.trim(F.regexp_replace(text, f"{WHITE}+", " "))
     split = docs.select(
         F.col(id_col).alias("_id"), text.alias("_text"),
         F.filter(F.split(spaced, " "), lambda w: w != "").alias("_words"),
         F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)).alias("_lines"))
-    stops = sorted({w for row in STOP_WORDS for w in row.split()})
+    stops = sorted({w for row in stop_words for w in row.split()})
     # One generated row for each document: filters on the measures stay above the
     # generator, so that no measure (nor the words) is computed a second time.
     counted = split.select("_id", F.inline(F.array(F.struct(
@@ -105,7 +111,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         _repeat_words("_words").cast("long").alias("n_repeat_words"),
-        F.size(F.array_intersect(F.split(F.lower("_text"), " "), F.lit(stops))).cast("long").alias("n_stop_words"),
+        F.size(F.array_intersect(F.transform("_words", F.lower), F.lit(stops))).cast("long").alias("n_stop_words"),
         F.regexp_count("_text", F.lit(r"!!(?=\s|$)")).cast("long").alias("n_exclaimed_words"),
         F.size(F.filter("_lines", lambda x: x.endswith("...") | x.endswith("…"))).alias("n_ellipsis_lines"),
         F.size(F.filter("_lines", lambda x: x.rlike(r"^\s*[-*•]"))).alias("n_bullet_lines"),
@@ -123,7 +129,8 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def compile_rules(rules=RULES) -> Column:
-    """The names of the broken rules, as one array expression over measures."""
+    """The names of the broken rules, as one array expression over measures. A rule
+    open at both ends is never broken."""
     def broken(r: Rule) -> Column:
         m = F.col(r.metric)
         tests = [m < r.low] if r.low is not None else []
@@ -142,19 +149,21 @@ def base_failed() -> Column:
         (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def judge(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def judge(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text",
+          stop_words=STOP_WORDS) -> DataFrame:
     """Measures, the base check, the names of broken rules and the verdict."""
-    judged = measure(docs, id_col, text_col).withColumn("base_failed", base_failed()) \
+    judged = measure(docs, id_col, text_col, stop_words).withColumn("base_failed", base_failed()) \
         .withColumn("broken_rules", compile_rules(rules))
     return judged.withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0))
 
 
-def keep_good(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text",
+              stop_words=STOP_WORDS) -> DataFrame:
     """The input rows (all their columns) whose verdict is to keep.
 
     The whole row travels beside the measures as one struct, so no join back
     and no shuffle is needed and clashing column names cannot matter."""
     row = F.struct(*[docs[c] for c in docs.columns])
     carried = docs.select(docs[text_col].alias("text"), row.alias("doc_id"))
-    kept = judge(carried, rules).filter("kept")
+    kept = judge(carried, rules, stop_words=stop_words).filter("kept")
     return kept.select("doc_id.*")
