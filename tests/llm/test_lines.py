@@ -24,3 +24,15 @@ def test_awkward_and_empty(spark, awkward, nothing):
 def test_native_plan(spark, awkward):
     plan = lines.drop_boilerplate(awkward)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_hosts_of_any_size_are_judged(spark):
+    """A footer on every page goes, also where a host has few; chance repeats stay."""
+    rows = [(100 * n + i, f"h{n}", f"own {n} {i}\nfooter {n}" + ("\nshared" if i < n // 2 else ""))
+            for n in (1, 2, 3, 9, 12) for i in range(n)]
+    got = lines.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    kept = {r.doc_id: r.text for r in got}
+    for n in (2, 3, 9, 12):
+        assert all(f"footer {n}" not in kept[100 * n + i] and f"own {n} {i}" in kept[100 * n + i] for i in range(n)), n
+        assert all(("shared" in kept[100 * n + i]) == (i < n // 2) for i in range(n)), n
+    assert kept[100] == "own 1 0\nfooter 1"

@@ -1,8 +1,10 @@
 """Operator 6, line dedup by site-relative frequency (DataFrame functions only).
 
 For each host, a line's ratio is the number of its pages that hold the line,
-divided by the number of its pages. Lines above ``max_ratio`` that stand on at
-least ``min_pages`` pages are boilerplate and leave every page of that host.
+divided by the number of its pages. Lines above ``max_ratio`` are boilerplate and
+leave every page of that host. On a small host a ratio may be chance: a line on
+fewer than ``min_pages`` pages must be above ``SMALL_RATIO``, and on one page alone
+it is never boilerplate. So a host of any size of two pages or more is judged.
 
 Defined results: NULL hosts form one host; a NULL text stays NULL and counts as
 a page without lines; lines without a word are neither counted nor dropped; a
@@ -18,6 +20,7 @@ from trendlens.llm.common import written
 
 MAX_RATIO = 0.05
 MIN_PAGES = 10
+SMALL_RATIO = 0.8
 BLANK = r"^\s*$"
 
 
@@ -40,9 +43,11 @@ def boilerplate(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int =
     pages = pages.select(F.coalesce("host", F.lit("")).alias("host"), "text")
     line = F.explode(F.array_distinct(F.filter(_lines(F.col("text")), lambda x: ~x.rlike(BLANK))))
     counts = pages.select("host", line.alias("line")).groupBy("host", _key(F.col("line")).alias("key")) \
-        .agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
+        .agg(F.count("*").alias("n")).filter("n > 1")
     totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    return counts.join(totals, "host").filter(F.col("n") > max_ratio * F.col("pages")) \
+    n, pages = F.col("n"), F.col("pages")
+    above = (n > max_ratio * pages) & ((n >= min_pages) | (n > SMALL_RATIO * pages))
+    return counts.join(totals, "host").filter(above) \
         .groupBy("host").agg(F.collect_list("key").alias("keys"))
 
 
