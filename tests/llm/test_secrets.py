@@ -65,3 +65,72 @@ def test_awkward_empty_and_native(spark, awkward, nothing):
     assert secrets.scan(nothing, table).count() == 0
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+TOKEN = re.compile("[A-Za-z0-9_+/=-]{20,}")
+
+
+def plain_spans(text, table):
+    """Base spans and, of the rest, tokens whose mean ratio exceeds the margin."""
+    spans = base(text)
+    out = list(spans)
+    for m in TOKEN.finditer(text):
+        covered = {i for a, _, z in spans for i in range(max(a, m.start()), min(z, m.end()))}
+        free = [i for i in range(m.start(), m.end()) if i not in covered]
+        parts = []
+        for i in free:
+            if parts and parts[-1][1] == i:
+                parts[-1][1] = i + 1
+            else:
+                parts.append([i, i + 1])
+        for a, z in parts:
+            if z - a >= secrets.LEAST_TOKEN:
+                codes = [0, *text[a:z].encode()]
+                total = sum(table[x * secrets.CODES + y] for x, y in zip(codes, codes[1:]))
+                if total / (z - a) > secrets.MARGIN:
+                    out.append((a, 3, z))
+    return ",".join(f"{secrets.KINDS[k]}:{a}:{z}" for a, k, z in sorted(out))
+
+
+def test_all_spans_equal_a_plain_scorer(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    table = secrets.train(docs)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = secrets.digest(secrets.scan(docs, table)).collect()
+    assert all(r.spans == plain_spans(texts[r.doc_id], table) for r in got)
+    assert sum(bool(TOKEN.search(t)) for t in texts.values()) > 10
+
+
+def test_what_is_left_of_a_cut_token_is_scored(spark):
+    import random
+
+    rng = random.Random(1)
+    key = lambda n: "".join(rng.choice("abcdefXYZGHKLqwrty0123456789") for _ in range(n))
+    train = spark.createDataFrame([(i, f"token = {key(40)} get_user_account parse_request_body") for i in range(300)],
+                                  "doc_id long, text string")
+    table = secrets.train(train)
+    loose = key(40)
+    texts = [f"see {loose}", "AKIA" + "A1B2" * 3 + "/" + loose, "0123456789abcdef" * 2 + "_" + loose, "AKIA" + "A1B2" * 3 + "/" + loose[:15],
+             loose + "/" + "AKIA" + "A1B2" * 3 + "/" + loose, "x" * 1_200_000 + " " + loose]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in secrets.scan(df, table).collect()}
+    for i, t in enumerate(texts):
+        spans = sorted((s.start, s.kind, s.stop) for s in [*got[i].base, *got[i].extra])
+        assert ",".join(f"{secrets.KINDS[k]}:{a}:{z}" for a, k, z in spans) == plain_spans(t, table), i
+    assert [len(got[i].extra) for i in range(6)] == [1, 1, 1, 0, 2, 1]
+    assert all(loose not in r.text for r in secrets.redact(secrets.scan(df, table)).collect() if r.doc_id != 3)
+
+
+def test_the_models_sum_to_one():
+    """Over all that tokens may hold, smoothed transition probabilities from any character."""
+    import math
+
+    steps = {(0, 65): 3, (65, 66): 2, (65, 67): 1}
+    other = {(0, 66): 5, (66, 120): 1, (66, 32): 1}
+    table = secrets.ratios(steps, other)
+    symbols = {ord(c) for c in map(chr, range(128)) if re.match("[A-Za-z0-9_+/=.-]", c)} | {32}
+    for a in (0, 65, 66):
+        total = sum(n for (x, _), n in other.items() if x == a)
+        ordinary = {b: (other.get((a, b), 0) + 0.5) / (total + 0.5 * len(symbols)) for b in symbols}
+        assert abs(sum(ordinary.values()) - 1) < 1e-9
+        assert abs(sum(p * math.exp(table[a * secrets.CODES + b]) for b, p in ordinary.items()) - 1) < 1e-4

@@ -3,7 +3,8 @@
 Base patterns find keyed assignments, access keys and long hexadecimal runs. The
 method adds tokens that look random: two character Markov models, one of random
 strings and one of ordinary identifiers, score every long token by the ratio of
-their log-likelihoods, character by character.
+their log-likelihoods, character by character. A token that base spans touch is cut
+there, and each part of ``LEAST_TOKEN`` characters or more is scored by itself.
 
 The models are trained from labelled samples of the corpus itself: the values
 that the base patterns match are labelled random, the other identifier-like
@@ -13,7 +14,8 @@ by hash); transition counts are made by Spark, and only the table of
 
 Defined results: NULL and empty texts have no spans; repeated documents are
 scanned each; without random samples both models are uniform and nothing is
-added. Columns named like a result are replaced.
+added; equal spans of two kinds are both listed, in the order of ``KINDS``. Columns
+named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -33,7 +35,9 @@ LONG_HEX = r"[0-9a-f]{32,}"
 LONG_ACCESS = r"AKIA[A-Z0-9]{12,}"
 
 TOKEN = r"[A-Za-z0-9_+/=-]{20,}"
+LEAST_TOKEN = 20
 IDENTIFIER = r"[A-Za-z0-9_+/=-]{8,}"
+ALPHABET = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_+/=.-")
 SAMPLE = 20_000
 CODES = 128
 SMOOTHING = 0.5
@@ -99,11 +103,14 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE, labelled: D
 
 def ratios(random: dict[tuple[int, int], int], ordinary: dict[tuple[int, int], int]) -> list[float]:
     """Smoothed log ratios of the two models' transition probabilities."""
+    # Both models share one alphabet: what tokens may hold, and what else was seen.
+    symbols = len(ALPHABET | {b for _, b in [*random, *ordinary]})
+
     def logs(steps):
         totals = [0.0] * CODES
         for (a, _), n in steps.items():
             totals[a] += n
-        return lambda a, b: math.log((steps.get((a, b), 0) + SMOOTHING) / (totals[a] + SMOOTHING * 64))
+        return lambda a, b: math.log((steps.get((a, b), 0) + SMOOTHING) / (totals[a] + SMOOTHING * symbols))
 
     if not random:
         return [0.0] * (CODES * CODES)
@@ -127,14 +134,29 @@ def _joined(spans: Column) -> Column:
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+def _outside(token: Column, base: Column) -> Column:
+    """The parts of a token that no base span covers, those of ``LEAST_TOKEN``
+    characters or more, as spans. ``base`` is sorted."""
+    start = F.struct(token["start"].alias("at"), F.array().cast(SPAN).alias("parts"))
+
+    def with_part(s, stop):
+        span = F.struct(s["at"].alias("start"), F.lit(3).alias("kind"), stop.alias("stop"))
+        return F.when(stop - s["at"] >= LEAST_TOKEN, F.concat(s["parts"], F.array(span))).otherwise(s["parts"])
+
+    def step(s, b):
+        cut = (b["start"] < token["stop"]) & (s["at"] < b["stop"])
+        return F.when(cut, F.struct(b["stop"].alias("at"), with_part(s, b["start"]).alias("parts"))).otherwise(s)
+
+    return F.aggregate(base, start, step, lambda s: with_part(s, token["stop"]))
+
+
 def scan(docs: DataFrame, table: list[float], text: str = "text", margin: float = MARGIN) -> DataFrame:
     """``docs`` with base and extra: arrays of (start, kind, stop) in code points."""
     ratio = F.split(F.lit(",".join(map(str, table))), ",").cast("array<double>")
     t = F.coalesce(F.col(text), F.lit(""))
     found = docs.withColumn("base", base_spans(t)).withColumn(
         "_tokens", F.when(t.rlike(TOKEN), _matches(t, TOKEN, 3)).otherwise(F.array().cast(SPAN)))
-    apart = F.filter("_tokens", lambda c: ~F.exists(
-        "base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
+    apart = F.flatten(F.transform("_tokens", lambda c: _outside(c, F.sort_array("base"))))
     extra = F.filter(apart, lambda c: _score(F.substr(t, c["start"] + 1, c["stop"] - c["start"]), ratio) > margin)
     return found.withColumn("extra", F.when(F.size("_tokens") > 0, extra).otherwise(F.array().cast(SPAN))).drop("_tokens")
 
