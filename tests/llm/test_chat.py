@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from trendlens.llm import chat
+from trendlens.llm.queries import QUERIES
 
 LOG = "conv_id long, seq long, kind string, message long, role string, text string"
 
@@ -38,3 +39,36 @@ def test_ties_nulls_and_empty(spark):
     assert [t.text for t in got[1].turns] == ["a", "a", "b"]
     assert [(t.role, t.text) for t in got[None].turns] == [("", "")]
     assert chat.digest(chat.read_back(chat.render(chat.fold(chat.log_of_rows(df.limit(0)))))).count() == 0
+
+
+def test_native_plan(spark):
+    plan = QUERIES["op2_chat"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "ExistingRDD" not in plan
+
+
+def plain_fold(log):
+    """The final messages of one conversation's events, applied one by one."""
+    state = {}
+    for _, kind, message, role, text in log:
+        if kind == "delta":
+            state.setdefault(message, []).append((role, text))
+        elif kind == "edit":
+            state[message] = [(role, text)]
+        else:
+            state = {m: parts for m, parts in state.items() if m < message}
+            state[message] = [(role, text)]
+    return [(m, parts[0][0], "".join(t for _, t in parts)) for m, parts in sorted(state.items())]
+
+
+def test_random_logs_equal_a_plain_fold(spark):
+    import random
+
+    rng = random.Random(6)
+    rows, want = [], []
+    for conv in range(150):
+        log = [(seq, rng.choice(["delta", "delta", "delta", "edit", "regenerate"]), rng.randrange(4), rng.choice(["user", "assistant"]),
+                rng.choice(["a", "b\n", "<|", ""])) for seq in range(rng.randrange(1, 14))]
+        rows += [(conv, seq, kind, message, role, text) for seq, kind, message, role, text in log]
+        want += [(conv, *m) for m in plain_fold(log)]
+    rng.shuffle(rows)
+    assert final(spark, rows) == want
