@@ -1,19 +1,23 @@
 """Operator 7, URL filters: a sorted digest array of 64-bit xxhash keys, probed
 by vectorised binary search, with the stored strings checked on a match.
 
-Two kinds of entries share the array: rules ("host/path", with a verdict) and
-blocked hosts. For each URL the candidate strings are its host's suffixes, alone
-and with every path prefix as long as some rule's path; all candidates of a batch
-are hashed and searched at once. The longest fitting rule decides; without one, a
-blocked host (or a subdomain of it) is blocked and anything else allowed.
-
-Each worker maps the array from an unlinked temporary file of its own, filled
-from a broadcast of bounded size: at most ``SLICE`` entries. Larger lists are cut
-into slices, one pass each, written between passes.
+Two lists come as DataFrames: rules (host, path, verdict) and blocked hosts (host).
+Spark merges equal entries, hashes them, range-partitions them by key and sorts them,
+so neither list is ever whole on the driver; each partition is packed to one slice
+of at most ``SLICE_BYTES``: sorted keys, offsets and strings. For each slice the pages
+are passed once (written between passes): a worker maps the slice from an unlinked
+temporary file and compares strings where they lie, as bytes.
+
+For each URL the candidate strings are its host's suffixes of as many labels as some
+entry has, alone and with every path prefix as long as that of some rule of so many
+labels. Spark makes and hashes them; a batch's keys are searched at once. The longest
+fitting rule decides; without one, a blocked host (or a subdomain of it) is blocked and
+anything else allowed.
 
 Defined results: NULL URLs and URLs without "://" have empty host and path, fit
 no rule and are allowed; repeated rows are judged each; of equal rules with
-different verdicts, block wins. Columns named like a result are replaced.
+different verdicts, block wins; NULL entries fit nothing, an entry's host counts as
+written in lower case. Columns named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -23,13 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trendlens.llm.common import written
 
-SLICE = 2_000_000
+SLICE_BYTES = 64 << 20
 # The rules of the contract, as (host, path, verdict).
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
@@ -37,118 +40,177 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 BLOCKED_LABELS = ("ads-track", "casino-win", "spam-farm", "adult-x", "cheap-pills", "free-bets")
 BLOCKED_HOSTS = tuple(f"{label}.example.{top}" for label in BLOCKED_LABELS for top in ("com", "net", "org"))
 
-RESULT = [StructField("host", StringType()), StructField("path", StringType()),
-          StructField("rule", StringType()), StructField("verdict", StringType())]
-STATE = [StructField("_rule_verdict", StringType()), StructField("_blocked", LongType())]
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+RESULT = ("host", "path", "rule", "verdict")
+
+
+def default_rules(spark: SparkSession) -> DataFrame:
+    rows = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(("host", "path", "verdict"), r)]) for r in RULES])
+    return spark.range(1).select(F.inline(rows))
+
+
+def default_blocked(spark: SparkSession) -> DataFrame:
+    return spark.range(1).select(F.explode(F.lit(list(BLOCKED_HOSTS))).alias("host"))
+
+
+def entries(rules: DataFrame, blocked: DataFrame) -> DataFrame:
+    """(text, block, labels, length): both lists as one, equal texts merged; block wins.
+    ``length`` is that of a rule's path, -1 for a blocked host."""
+    host = F.translate("host", UPPER, LOWER)
+    kinds = rules.select(F.concat(F.lit("rule "), host, F.col("path")).alias("text"), (F.col("verdict") == "block").alias("block"),
+                         host.alias("h"), F.length("path").alias("length"))
+    hosts = blocked.select(F.concat(F.lit("host "), host).alias("text"), F.lit(True).alias("block"), host.alias("h"),
+                           F.lit(-1).alias("length"))
+    return kinds.unionByName(hosts).filter("text is not null and block is not null").groupBy("text").agg(
+        F.max("block").alias("block"), F.max(F.size(F.split("h", r"\."))).alias("labels"), F.max("length").alias("length"))
+
+
+def slices(found: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """(slice, keys, offsets, texts, block): the entries in order of their keys, packed
+    to slices of at most ``slice_bytes`` of text."""
+    keyed = found.select(F.xxhash64("text").alias("key"), "text", "block")
+    size = found.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    parts = -(-size // slice_bytes) or 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number, held, n = TaskContext.get().partitionId() << 32, [], 0
+
+        def packed() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            texts = table.column("text").cast(pa.large_binary()).combine_chunks()
+            offsets = np.append(0, np.cumsum(pc.binary_length(texts).to_numpy()))
+            cells = (number, table.column("key").to_numpy().astype("<i8").tobytes(), offsets.astype("<i8").tobytes(),
+                     b"".join(texts.to_pylist()), table.column("block").to_numpy().astype(np.uint8).tobytes())
+            return pa.RecordBatch.from_arrays([pa.array([c]) for c in cells], names=["slice", "keys", "offsets", "texts", "block"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                piece = batch.slice(at, 1024)
+                size = pc.sum(pc.binary_length(piece.column("text"))).as_py() + 16 * piece.num_rows
+                if held and n + size > slice_bytes:
+                    yield packed()
+                    number, held, n = number + 1, [], 0
+                held.append(piece)
+                n += size
+        if held:
+            yield packed()
+
+    return keyed.repartitionByRange(parts, "key").sortWithinPartitions("key").mapInArrow(
+        run, "slice long, keys binary, offsets binary, texts binary, block binary")
 
 
 class DigestArray:
-    """Sorted keys in a memory-mapped file, beside the strings they stand for."""
-
-    def __init__(self, entries: list[tuple[str, str]]):
-        merged: dict[str, str] = {}
-        for text, value in entries:
-            if merged.get(text) != "block":
-                merged[text] = value
-        keyed = sorted((xxhash.xxh64_intdigest(text), text) for text in merged)
+    """One slice in a memory-mapped file: sorted keys, and the strings that they stand for."""
+
+    def __init__(self, keys: bytes, offsets: bytes, texts: bytes, block: bytes):
         self.file = tempfile.TemporaryFile()
-        np.array([k for k, _ in keyed], np.uint64).tofile(self.file)
+        for part in (keys, offsets, block, texts):
+            self.file.write(part)
         self.file.flush()
-        self.keys = np.memmap(self.file, np.uint64, "r") if keyed else np.zeros(0, np.uint64)
-        self.texts = [t for _, t in keyed]
-        self.values = merged
-
-    def find(self, texts: list[str]) -> list[str | None]:
-        """The value of each text, or None."""
-        if not len(self.keys) or not texts:
-            return [None] * len(texts)
-        probes = np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64)
-        at = np.searchsorted(self.keys, probes)
-        found: list[str | None] = [None] * len(texts)
-        at[at == len(self.keys)] = 0
-        for i in np.flatnonzero(self.keys[at] == probes):
-            j = int(at[i])
-            while j < len(self.texts) and self.keys[j] == probes[i]:  # keys may collide; strings decide
-                if self.texts[j] == texts[i]:
-                    found[i] = self.values[texts[i]]
+        raw = np.memmap(self.file, np.uint8, "r") if keys else np.zeros(8, np.uint8)
+        n = len(keys) // 8
+        self.keys = raw[:8 * n].view("<i8")
+        self.offsets = raw[8 * n:16 * n + 8].view("<i8")
+        self.block = raw[16 * n + 8:17 * n + 8]
+        self.texts = raw[17 * n + 8:]
+
+    def find(self, texts: pa.Array, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which texts are stored, where) by their keys, found by binary search and
+        compared as bytes; texts of one key stand side by side."""
+        at = np.searchsorted(self.keys, keys)
+        which = np.flatnonzero((at < len(self.keys)) & (self.keys[np.minimum(at, max(len(self.keys) - 1, 0))] == keys)
+                               if len(self.keys) else np.zeros(0, bool))
+        hits, places = [], []
+        for i in which.tolist():
+            text, j = texts[i].as_py().encode(), int(at[i])
+            while j < len(self.keys) and self.keys[j] == keys[i]:  # keys may collide; strings decide
+                a, b = int(self.offsets[j]), int(self.offsets[j + 1])
+                if b - a == len(text) and self.texts[a:b].tobytes() == text:
+                    hits.append(i)
+                    places.append(j)
                     break
                 j += 1
-        return found
+        return np.array(hits, np.int64), np.array(places, np.int64)
 
 
-def _lower(s: str) -> str:
-    return s.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+def host_and_path(url: Column) -> tuple[Column, Column]:
+    """The host, A-Z in lower case, and the path of a URL."""
+    whole = F.coalesce(url, F.lit(""))
+    rest = F.when(F.instr(whole, "://") > 0, F.substr(whole, F.instr(whole, "://") + 3)).otherwise(F.lit(""))
+    rest = F.substring_index(F.substring_index(rest, "#", 1), "?", 1)
+    host = F.substring_index(rest, "/", 1)
+    return F.translate(host, UPPER, LOWER), F.substr(rest, F.length(host) + 1)
 
 
-def split_url(url: str | None) -> tuple[str, str]:
-    """(host, path) of a URL."""
-    _, scheme, rest = (url or "").partition("://")
-    if not scheme:
-        return "", ""
-    rest = rest.split("#", 1)[0].split("?", 1)[0]
-    cut = rest.find("/")
-    return (_lower(rest), "") if cut < 0 else (_lower(rest[:cut]), rest[cut:])
+def _candidates(shapes: list[tuple[int, int]]) -> Column:
+    """The strings that entries of these (labels, path length) may equal."""
+    n = F.size(F.split("host", r"\."))
 
+    def one(labels: int, length: int) -> Column:
+        suffix = F.substring_index("host", ".", -labels)
+        if length < 0:
+            return F.when((F.col("host") != "") & (n >= labels), F.concat(F.lit("host "), suffix))
+        fits = (F.col("host") != "") & (n >= labels) & (F.length("path") >= length)
+        return F.when(fits, F.concat(F.lit("rule "), suffix, F.substr("path", F.lit(1), F.lit(length))))
 
-def _candidates(host: str, path: str, lengths: list[int]) -> list[tuple[str, bool]]:
-    if not host:
-        return []
-    labels = host.split(".")
-    hosts = [".".join(labels[i:]) for i in range(len(labels))]
-    return [("host " + h, False) for h in hosts] + \
-        [("rule " + h + path[:n], True) for n in lengths if n <= len(path) for h in hosts]
+    found = [one(*s) for s in shapes]
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
 
-def _pass(pages: DataFrame, rules, blocked, url: str, schema: StructType) -> DataFrame:
-    entries = [("rule " + h + p, v) for h, p, v in rules] + [("host " + h, "block") for h in blocked]
-    shared = pages.sparkSession.sparkContext.broadcast(entries)
-    lengths = sorted({len(p) for _, p, _ in rules})
-    names = schema.names
+def _pass(pages: DataFrame, part: tuple, texts: Column) -> DataFrame:
+    """One pass over the pages with one slice."""
+    shared = pages.sparkSession.sparkContext.broadcast(part)
+    probing = pages.withColumn("texts", texts).withColumn("keys", F.transform("texts", lambda t: F.xxhash64(t)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digests = DigestArray(shared.value)
+        digests = DigestArray(*shared.value)
         for batch in batches:
             cols = dict(zip(batch.schema.names, batch.columns))
-            parts = [split_url(u) for u in cols[url].to_pylist()]
-            texts: list[str] = []
-            owner: list[tuple[int, bool]] = []
-            for i, (h, p) in enumerate(parts):
-                for t, is_rule in _candidates(h, p, lengths):
-                    texts.append(t)
-                    owner.append((i, is_rule))
-            n = len(parts)
-            rule = cols["rule"].to_pylist() if "rule" in cols else [None] * n
-            verdict = cols["_rule_verdict"].to_pylist() if "rule" in cols else [None] * n
-            bad = cols["_blocked"].to_pylist() if "rule" in cols else [0] * n
-            for (i, is_rule), t, v in zip(owner, texts, digests.find(texts)):
-                if v is None:
+            lists = cols.pop("texts")
+            texts, keys = lists.flatten(), cols.pop("keys").flatten().to_numpy()
+            owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())
+            hits, places = digests.find(texts, keys)
+            rule, rule_block = cols["rule"].to_pylist(), cols["rule_block"].to_pylist()
+            blocked = cols["blocked"].to_pylist()
+            for i, hit, j in zip(owner[hits].tolist(), hits.tolist(), places.tolist()):
+                text = texts[hit].as_py()
+                if text.startswith("host "):
+                    blocked[i] = True
                     continue
-                fits = t[5:]
-                if not is_rule:
-                    bad[i] = 1
-                elif rule[i] is None or len(fits) > len(rule[i]) or (fits == rule[i] and v == "block"):
-                    rule[i], verdict[i] = fits, v
-            cols |= {"host": pa.array([h for h, _ in parts], pa.string()),
-                     "path": pa.array([p for _, p in parts], pa.string()), "rule": pa.array(rule, pa.string()),
-                     "verdict": pa.array([v or ("block" if b else "allow") for v, b in zip(verdict, bad)], pa.string()),
-                     "_rule_verdict": pa.array(verdict, pa.string()), "_blocked": pa.array(bad, pa.int64())}
-            yield pa.RecordBatch.from_arrays([cols[c] for c in names], names=names)
+                new = (len(text) - 5, bool(digests.block[j]), text[5:])
+                if rule[i] is None or new > (len(rule[i]), rule_block[i], rule[i]):
+                    rule[i], rule_block[i] = new[2], new[1]
+            cols |= {"rule": pa.array(rule, pa.string()), "rule_block": pa.array(rule_block, pa.bool_()),
+                     "blocked": pa.array(blocked, pa.bool_())}
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
-    return pages.mapInArrow(run, schema)
+    return probing.mapInArrow(run, pages.schema)
 
 
-def judge(pages: DataFrame, rules=RULES, blocked=BLOCKED_HOSTS, url: str = "url", per_slice: int = SLICE) -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame | None = None, blocked: DataFrame | None = None, url: str = "url",
+          slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """``pages`` with host, path, rule and verdict."""
-    pages = pages.drop(*[f.name for f in [*RESULT, *STATE]])
-    schema = StructType([*pages.schema.fields, *RESULT, *STATE])
-    n = max(len(rules), len(blocked))
-    slices = -(-n // per_slice) or 1
-    for k in range(slices):
-        part = slice(k * per_slice, (k + 1) * per_slice)
-        pages = _pass(pages, rules[part], blocked[part], url, schema)
-        if k + 1 < slices:
-            pages = written(pages, "urls")
-    return pages.drop(*[f.name for f in STATE])
+    spark = pages.sparkSession
+    found = written(entries(default_rules(spark) if rules is None else rules,
+                            default_blocked(spark) if blocked is None else blocked), "url-entries")
+    # The shapes of entries: as many labels as a host has, by as many path lengths.
+    shapes = sorted(tuple(r) for r in found.select("labels", "length").distinct().collect())
+    packed = written(slices(found, slice_bytes), "url-slices")
+    host, path = host_and_path(pages[url])
+    names = [c for c in pages.columns if c not in RESULT]
+    state = pages.select(F.struct(*[pages[c] for c in names]).alias("_row"), host.alias("host"), path.alias("path"),
+                         F.lit(None).cast("string").alias("rule"), F.lit(None).cast("boolean").alias("rule_block"),
+                         F.lit(False).alias("blocked"))
+    numbers = sorted(r[0] for r in packed.select("slice").collect())
+    for k, number in enumerate(numbers):
+        part = packed.filter(F.col("slice") == number).select("keys", "offsets", "texts", "block").first()
+        state = _pass(state, tuple(bytes(x) for x in part), _candidates(shapes))
+        if k + 1 < len(numbers):
+            state = written(state, "urls")
+    verdict = F.when(F.coalesce("rule_block", "blocked"), F.lit("block")).otherwise(F.lit("allow"))
+    return state.select("_row.*", "host", "path", "rule", verdict.alias("verdict"))
 
 
 def allowed(pages: DataFrame, **options) -> DataFrame:
