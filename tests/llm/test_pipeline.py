@@ -110,7 +110,7 @@ def test_columns_of_any_name_survive(spark):
     first = docs.orderBy("doc_id").limit(1)
     long = first.withColumn("doc_id", F.lit(10**6).cast("long")).withColumn(
         "text", F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(30_000)), lambda i: F.concat(
-            F.lit("the river of stone "), i.cast("string")))))
+            F.lit("the river"), i.cast("string"), F.lit(" of stone"), i.cast("string")))))
     docs = docs.unionByName(first).unionByName(long).withColumn("n_chars", F.length("text").cast("long"))
     for i, name in enumerate(CLASHING):
         docs = docs.withColumn(name, F.lit(-i))
