@@ -110,6 +110,7 @@ def test_blocks_cover_a_bucket(spark, monkeypatch):
     """Small blocks and few candidates at a time give the same classes."""
     monkeypatch.setattr(minhash, "BLOCK", 4)
     monkeypatch.setattr(minhash, "MOST", (1, None))
+    monkeypatch.setattr(minhash, "SLICE", 3)
     docs = {}
     for k in range(40):
         own = [f"word{i}" for i in range(90)] + [f"own{k // 4}x{i}" for i in range(40)]
@@ -138,3 +139,56 @@ def test_a_text_leaves_its_bucket_by_verified_links_only(spark, monkeypatch):
     got = {r.doc_id: r.class_id for r in minhash.classes(
         spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
     assert got == brute(docs)
+
+
+def test_repeated_ids_are_one_document(spark):
+    """Two texts under one id do not join the documents that copy them."""
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a), (1, b), (2, a), (3, b), (4, None), (4, a), (5, None), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in minhash.classes(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 1, 5: 5}
+    kept = sorted((r.doc_id, r.text or "") for r in minhash.keep_first(df).collect())
+    assert kept == [(1, a), (3, b), (5, "")]
+
+
+def test_sketches_estimate_similarity():
+    """Exact within collisions for short texts, within the stated error for long ones."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    worst = {}
+    for n in (30, 160, 500, 4000, 30_000):
+        for share in (0.5, 0.7, 0.8, 0.9):
+            both = rng.integers(1, 2**63, int(n * share), dtype=np.uint64)
+            own = [rng.integers(1, 2**63, (n - len(both)) // 2, dtype=np.uint64) for _ in range(2)]
+            t = np.repeat([0, 1], [len(both) + len(own[0]), len(both) + len(own[1])])
+            fine = minhash.sketches(t, np.concatenate([both, own[0], both, own[1]]), 2)
+            true = len(both) / (len(both) + len(own[0]) + len(own[1]))
+            worst[n] = max(worst.get(n, 0), abs(minhash.close_by_sketch(fine[:1], fine[1:])[0] - true))
+    assert worst[30] < 0.05 and worst[160] < 0.05 and max(worst.values()) < 0.055
+    # Of pairs of 0.8 none falls below the bound.
+    low = 1.0
+    for _ in range(300):
+        both = rng.integers(1, 2**63, 8000, dtype=np.uint64)
+        own = rng.integers(1, 2**63, 2000, dtype=np.uint64)
+        t = np.repeat([0, 1], [9000, 9000])
+        fine = minhash.sketches(t, np.concatenate([both, own[:1000], both, own[1000:]]), 2)
+        low = min(low, minhash.close_by_sketch(fine[:1], fine[1:])[0])
+    assert low >= minhash.CLOSE
+
+
+def test_darts_of_real_weights():
+    """Coordinates agree with the weighted Jaccard similarity of weights that are no
+    whole numbers, and a text's cost does not depend on another's."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    elements = rng.integers(1, 2**63, 40, dtype=np.uint64)
+    w = [rng.uniform(0, 3, 40), None]
+    w[1] = np.where(rng.random(40) < 0.5, w[0], rng.uniform(0, 3, 40))
+    t = np.repeat([0, 1], 40)
+    sig = minhash.darts(t, np.tile(elements, 2), 2, 4000, np.concatenate(w))
+    true = np.minimum(*w).sum() / np.maximum(*w).sum()
+    assert abs((sig[0] == sig[1]).mean() - true) < 0.03
+    whole = minhash.darts(t[:40], elements, 1, 200, np.full(40, 2.0))
+    assert (whole == minhash.darts(np.zeros(80, int), np.repeat(elements, 2), 1, 200)).all()

@@ -14,24 +14,27 @@ has a dart, which costs about COORDS x ln(COORDS) darts for a text of any length
 4. Candidates are verified exactly on the whole texts: weighted Jaccard >= 0.8.
 5. Links are contracted to classes by minimum labels and pointer jumping.
 6. Two texts of a bucket that are of one class by verified links need no further
-   comparison; all others do. In each bucket the texts outside its most frequent
-   class are compared with all texts of another class (in blocks of ``BLOCK`` texts,
-   so a hot bucket is many tasks), and candidates are verified. Of one text's
-   candidates in one class the most similar come first (``MOST``); as long as
-   some were put off, the classes are made anew and more of them are taken, at
-   last all.
+   comparison; all others do, in the first bucket that they share. In each bucket the
+   texts outside its most frequent class are compared with all of another class: by the same codes, and those
+   that pass by a sketch (the shingles in ``BINS`` bins, four bits of the least hash
+   of each), which is about exact for short texts. Candidates are verified exactly.
+   Of one text's candidates in one class the most similar come first (``MOST``); if
+   some were put off, the classes are made anew and all that is left is taken.
 
 A text never leaves a bucket by an estimate, so recall is that of the bands and of
-the four-bit comparison: a pair of similarity 0.8 shares no bucket with
-probability (1 - 0.8**5)**25 = 5e-5 and agrees in fewer than ``CANDIDATE`` codes
-with 1e-4. Nothing is capped or sampled. Equal or near copies of one text meet
-their leader only; texts that are alike but not linked (0.7, say) are compared in
-pairs, by codes, as far as they share buckets.
+the two comparisons: a pair of similarity 0.8 shares no bucket with probability
+(1 - 0.8**5)**25 = 5e-5, agrees in fewer than ``CANDIDATE`` codes with 1e-4, and has
+a sketch below ``CLOSE`` with 1e-5. Nothing is capped or sampled. Equal or near
+copies of one text meet their leader only; texts that are alike but not linked (0.7,
+say) are compared in pairs, by codes and sketches, as far as they share buckets. A
+bucket of up to ``BLOCK`` texts is compared where it lies, each of its texts one row;
+a larger one is dealt to tiles of ``BLOCK`` by ``BLOCK`` texts, so that a hot bucket is
+many tasks.
 
 Defined results: texts without a word (NULL, empty, symbols only) are classes of
 their own; texts of one to four words have one shingle, all their words; NULL
-doc_ids take no part; repeated doc_ids are one document (the lowest word
-sequence by key stands for it). ``class_id`` is the lowest doc_id of the class.
+doc_ids take no part; repeated doc_ids are one document (the least of its texts
+stands for it). ``class_id`` is the lowest doc_id of the class.
 """
 
 from __future__ import annotations
@@ -55,10 +58,15 @@ COORDS = BANDS * ROWS
 CODE_WORDS = 8  # 16 four-bit codes each
 # Agreeing codes (of 125): a pair of similarity 0.8 has 101.6 +- 4.4.
 CANDIDATE = 85
-BLOCK = 512
-MOST = (4, 64, None)
+BINS = 1024
+FINE_WORDS = BINS // 16
+# The least similarity by sketches: a pair of 0.8 has 0.8 +- 0.0125, or less of an error.
+CLOSE = 0.745
+BLOCK = 4096
+MOST = (4, None)
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+_NIBBLES = np.uint64(0x1111111111111111)
 _MASK = 2**64 - 1
 _FIRST_LAYER = -6  # ranks [0, 2**-6), then doubling layers
 
@@ -107,13 +115,34 @@ def _weighted(texts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.nda
     return t[first], h[first], np.diff(np.append(first, len(t)))
 
 
-def darts(texts: np.ndarray, hashes: np.ndarray, n_texts: int, coords: int = COORDS) -> np.ndarray:
+def cells(texts: np.ndarray, hashes: np.ndarray, weights: np.ndarray | None = None):
+    """(text, hash, height) of the weighted elements cut into cells of weight one
+    (and a last, lower one where a weight is no whole number). Without ``weights`` an
+    element weighs as often as it occurs."""
+    if weights is None:
+        t, h, w = _weighted(texts, hashes)
+        full, rest = w, np.zeros(0)
+    else:
+        t, h, w = texts, hashes, np.asarray(weights, float)
+        full, rest = np.ceil(w).astype(np.int64), np.floor(w) < w
+    unit = np.arange(int(full.sum())) - np.repeat(np.cumsum(full) - full, full)
+    height = np.ones(len(unit))
+    if len(rest):
+        last = np.cumsum(full)[rest] - 1
+        height[last] = (w - np.floor(w))[rest]
+    return np.repeat(t, full), mix(np.repeat(h, full) + unit.astype(np.uint64) * _GOLD), height
+
+
+def darts(texts: np.ndarray, hashes: np.ndarray, n_texts: int, coords: int = COORDS,
+          weights: np.ndarray | None = None) -> np.ndarray:
     """The earliest dart of each coordinate, (n_texts, coords); 0 rows for texts
     without shingles."""
+    return _thrown(*cells(texts, hashes, weights), n_texts, coords)
+
+
+def _thrown(t: np.ndarray, h: np.ndarray, height: np.ndarray, n_texts: int, coords: int) -> np.ndarray:
     signature = np.zeros(n_texts * coords, np.uint64)
-    t, h, w = _weighted(texts, hashes)
-    unit = np.arange(int(w.sum())) - np.repeat(np.cumsum(w) - w, w)
-    t, h = np.repeat(t, w), mix(np.repeat(h, w) + unit.astype(np.uint64) * _GOLD)
+    whole = bool((height == 1).all())
     layer = 0
     while len(t):
         u = mix(h ^ np.uint64((layer + 1) * 0xD6E8FEB86659FD93 & _MASK))
@@ -122,7 +151,11 @@ def darts(texts: np.ndarray, hashes: np.ndarray, n_texts: int, coords: int = COO
         n = n[some]
         nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         dart = mix(np.repeat(u[some], n) + (nth.astype(np.uint64) + np.uint64(1)) * _GOLD) | np.uint64(1)
-        slot = np.repeat(t[some], n) * coords + ((dart >> np.uint64(32)) % np.uint64(coords)).astype(np.int64)
+        owner = np.repeat(t[some], n)
+        if not whole:  # a dart counts if it lies below the height of its cell
+            low = (mix(dart + _GOLD) >> np.uint64(11)) * 2.0 ** -53 < np.repeat(height[some], n)
+            dart, owner = dart[low], owner[low]
+        slot = owner * coords + ((dart >> np.uint64(32)) % np.uint64(coords)).astype(np.int64)
         free = signature[slot] == 0
         slot, dart = slot[free], dart[free]
         order = np.lexsort((mix(dart), slot))  # ranks within a layer are uniform
@@ -132,11 +165,35 @@ def darts(texts: np.ndarray, hashes: np.ndarray, n_texts: int, coords: int = COO
         signature[slot[first]] = dart[first]
         open_texts = (signature.reshape(n_texts, coords) == 0).any(axis=1)
         left = open_texts[t]
-        t, h = t[left], h[left]
+        t, h, height = t[left], h[left], height[left]
         layer += 1
     return signature.reshape(n_texts, coords)
 
 
+def sketches(t: np.ndarray, h: np.ndarray, n_texts: int) -> np.ndarray:
+    """For each text the cells' hashes in ``BINS`` bins: four bits of each bin's least
+    one, 0 for an empty bin, 16 to a word."""
+    least = np.full(n_texts * BINS, _MASK, np.uint64)
+    np.minimum.at(least, t * BINS + (h >> np.uint64(54)).astype(np.int64), h)
+    nibble = np.where(least == np.uint64(_MASK), np.uint64(0), np.uint64(1) + mix(least) % np.uint64(15))
+    shift = np.arange(16, dtype=np.uint64) * np.uint64(4)
+    return (nibble.reshape(n_texts, FINE_WORDS, 16) << shift).sum(axis=2, dtype=np.uint64)
+
+
+def _marked(words: np.ndarray) -> np.ndarray:
+    """One bit for each nibble that is not zero."""
+    words = words | words >> np.uint64(2)
+    return (words | words >> np.uint64(1)) & _NIBBLES
+
+
+def close_by_sketch(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The estimated similarity of texts, row by row of their sketches: of the bins
+    that either fills, the share that agrees."""
+    in_a, in_b = _marked(a), _marked(b)
+    same = np.bitwise_count(in_a & in_b & ~_marked(a ^ b)).sum(axis=1, dtype=np.int64)
+    return same / np.maximum(np.bitwise_count(in_a | in_b).sum(axis=1, dtype=np.int64), 1)
+
+
 def _bands(signature: np.ndarray) -> np.ndarray:
     parts = signature.reshape(len(signature), BANDS, ROWS)
     out = np.zeros(parts.shape[:2], np.uint64)
@@ -158,18 +215,19 @@ def _lists(values: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, key, bands, code) of every document that has a word."""
+    """(doc_id, key, bands, code, fine) of every document that has a word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (p for b in batches for p in bytescan.pieces(b, 1)):
-            t, h, keys = shingles(batch.column(1))
-            sig = darts(t, h, batch.num_rows)
+            texts, hashes, keys = shingles(batch.column(1))
+            t, h, height = cells(texts, hashes)
+            sig, fine = _thrown(t, h, height, batch.num_rows, COORDS), sketches(t, h, batch.num_rows)
             out = pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), _lists(_bands(sig)), _lists(_codes(sig))],
-                names=["doc_id", "key", "bands", "code"])
+                [batch.column(0), pa.array(keys, pa.binary()), _lists(_bands(sig)), _lists(_codes(sig)),
+                 _lists(fine.view(np.int64))], names=["doc_id", "key", "bands", "code", "fine"])
             yield out.filter(pa.array([k is not None for k in keys]))
 
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text].alias("text")).filter(
-        F.col("doc_id").isNotNull()).mapInArrow(run, "doc_id long, key binary, bands array<long>, code array<long>")
+        F.col("doc_id").isNotNull()).mapInArrow(run, "doc_id long, key binary, bands array<long>, code array<long>, fine array<long>")
 
 
 def _agreeing(a: str, b: str) -> Column:
@@ -184,10 +242,10 @@ def _agreeing(a: str, b: str) -> Column:
 
 
 def _buckets(texts: DataFrame) -> DataFrame:
-    """(bucket, doc_id, n) of the buckets of two texts or more."""
+    """(bucket, band, doc_id, n) of the buckets of two texts or more."""
     rows = texts.select("doc_id", F.posexplode("bands").alias("band", "h"))
     shared = rows.groupBy("band", "h").agg(F.count("*").alias("n")).filter("n > 1")
-    return written(rows.join(shared, ["band", "h"]).select(F.xxhash64("band", "h").alias("bucket"), "doc_id", "n"),
+    return written(rows.join(shared, ["band", "h"]).select(F.xxhash64("band", "h").alias("bucket"), "band", "doc_id", "n"),
                    "minhash-buckets")
 
 
@@ -204,23 +262,37 @@ def candidates(texts: DataFrame, met: DataFrame | None = None) -> DataFrame:
         .select("doc_id", "leader").distinct()
 
 
-_NIBBLES = np.uint64(0x1111111111111111)
+LEFT, RIGHT = 1, 2
+SLICE = 256  # texts of the left side compared at once
 
 
-def _across(ids: np.ndarray, labels: np.ndarray, codes: np.ndarray, left: np.ndarray, most: int | None):
+def _across(ids: np.ndarray, labels: np.ndarray, role: np.ndarray, band: np.ndarray, codes: np.ndarray, fine: np.ndarray,
+            bands: np.ndarray, most: int | None):
     """(doc, other, more) of the candidates of one tile: left texts with right
-    texts of another label. ``more`` marks a place after the ``most`` best that a
-    text has in one label."""
-    li, ri = np.flatnonzero(left), np.flatnonzero(~left)
-    agree = np.full((len(li), len(ri)), COORDS - CODE_WORDS * 16, np.int16)
-    for i in range(CODE_WORDS):
-        x = codes[li, i][:, None] ^ codes[ri, i][None, :]
-        x |= x >> np.uint64(2)
-        x |= x >> np.uint64(1)
-        agree += 16 - np.bitwise_count(x & _NIBBLES).astype(np.int16)
-    a, b = np.nonzero((agree >= CANDIDATE) & (labels[li][:, None] != labels[ri][None, :]))
-    agree, a, b = agree[a, b], li[a], ri[b]
-    order = np.lexsort((ids[b], -agree, labels[b], a))
+    texts of another label that share no bucket of an earlier band (there they have
+    met already). ``more`` marks a place after the ``most`` best that a text has in one
+    label."""
+    left, right = np.flatnonzero(role & LEFT), np.flatnonzero(role & RIGHT)
+    found = []
+    for at in range(0, len(left), SLICE):
+        li = left[at:at + SLICE]
+        agree = np.full((len(li), len(right)), COORDS - CODE_WORDS * 16, np.int16)
+        for i in range(CODE_WORDS):
+            x = codes[li, i][:, None] ^ codes[right, i][None, :]
+            x |= x >> np.uint64(2)
+            x |= x >> np.uint64(1)
+            agree += 16 - np.bitwise_count(x & _NIBBLES).astype(np.int16)
+        a, b = np.nonzero((agree >= CANDIDATE) & (labels[li][:, None] != labels[right][None, :]))
+        a, b = li[a], right[b]
+        for k in range(0, len(a), 1 << 14):
+            x, y = a[k:k + (1 << 14)], b[k:k + (1 << 14)]
+            here = ~(bands[x, :band[0]] == bands[y, :band[0]]).any(axis=1)
+            x, y = x[here], y[here]
+            near = close_by_sketch(fine[x], fine[y])
+            good = near >= CLOSE
+            found.append((x[good], y[good], near[good]))
+    a, b, near = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+    order = np.lexsort((ids[b], -near, labels[b], a))
     a, b = a[order], b[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (labels[b[1:]] != labels[b[:-1]])
@@ -235,10 +307,11 @@ def across(texts: DataFrame, met: DataFrame, labels: DataFrame, most: int | None
     """(doc_id, leader, more): candidates of different labels within a bucket.
 
     Buckets of two texts are done by their leader. Of the others, texts outside
-    the most frequent label (k of n) are dealt to k / BLOCK rows of tiles, all texts
-    to n / BLOCK columns."""
+    the most frequent label (k of n) are compared with all. Up to ``BLOCK`` texts are
+    one tile and each text one row; of more, the k are dealt to k / BLOCK rows of tiles
+    and the n to n / BLOCK columns."""
     rows = met.filter("n > 2").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "bucket", "doc_id", "n", F.coalesce("label", "doc_id").alias("label"))
+        "bucket", "band", "doc_id", "n", F.coalesce("label", "doc_id").alias("label"))
     home = rows.groupBy("bucket", "label").agg(F.count("*").alias("c")).groupBy("bucket").agg(
         F.max(F.struct("c", "label")).alias("most"), F.count("*").alias("labels")).filter("labels > 1").select(
         "bucket", F.col("most.label").alias("home"), F.col("most.c").alias("c"))
@@ -246,24 +319,27 @@ def across(texts: DataFrame, met: DataFrame, labels: DataFrame, most: int | None
     def blocks(n):
         return F.ceil(n / F.lit(BLOCK)).cast("int")
 
-    def tile(i, j, left):
-        return F.struct(F.xxhash64("bucket", i, j).alias("tile"), F.lit(left).alias("left"))
+    def tile(i, j, role):
+        return F.struct(F.xxhash64("bucket", i, j).alias("tile"), F.lit(role).alias("role"))
 
+    at_home = F.col("label") == F.col("home")
     down, along = blocks(F.col("n") - F.col("c")), blocks(F.col("n"))
     own = F.xxhash64("doc_id")
     row, column = F.pmod(own, down).cast("int"), F.pmod(own, along).cast("int")
-    as_right = F.transform(F.sequence(F.lit(0), down - 1), lambda i: tile(i, column, False))
-    as_left = F.transform(F.sequence(F.lit(0), along - 1), lambda j: tile(row, j, True))
+    as_right = F.transform(F.sequence(F.lit(0), down - 1), lambda i: tile(i, column, RIGHT))
+    as_left = F.transform(F.sequence(F.lit(0), along - 1), lambda j: tile(row, j, LEFT))
+    here = F.array(F.struct(F.col("bucket").alias("tile"), F.when(at_home, RIGHT).otherwise(LEFT | RIGHT).alias("role")))
     dealt = rows.join(home, "bucket").select(
-        "doc_id", "label", F.explode(F.when(F.col("label") == F.col("home"), as_right)
+        "band", "doc_id", "label", F.explode(F.when(F.col("n") <= BLOCK, here).when(at_home, as_right)
                                      .otherwise(F.concat(as_right, as_left))).alias("t")) \
-        .join(texts.select("doc_id", "code"), "doc_id") \
-        .select("t.tile", "t.left", "doc_id", "label", "code").repartition("tile").sortWithinPartitions("tile")
+        .join(texts.select("doc_id", "code", "fine", "bands"), "doc_id") \
+        .select("t.tile", "t.role", "band", "doc_id", "label", "code", "fine", "bands").repartition("tile") \
+        .sortWithinPartitions("tile")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(tiles, left, ids, labels, codes):
+        def found(tiles, *columns):
             cuts = [0, *(np.flatnonzero(np.diff(tiles)) + 1).tolist(), len(tiles)]
-            parts = [_across(ids[a:b], labels[a:b], codes[a:b], left[a:b], most) for a, b in zip(cuts, cuts[1:])]
+            parts = [_across(*(c[a:b] for c in columns), most) for a, b in zip(cuts, cuts[1:])]
             a, b, more = (np.concatenate(x) for x in zip(*parts))
             return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(more)],
                                               names=["doc_id", "leader", "more"])
@@ -272,10 +348,9 @@ def across(texts: DataFrame, met: DataFrame, labels: DataFrame, most: int | None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tiles, ids, labels = (batch.column(i).to_numpy() for i in (0, 2, 3))
-            left = batch.column(1).to_numpy(zero_copy_only=False)
-            codes = batch.column(4).flatten().to_numpy().view(np.uint64).reshape(-1, CODE_WORDS)
-            now = (tiles, left, ids, labels, codes)
+            tiles, role, band, ids, labels = (batch.column(i).to_numpy() for i in range(5))
+            codes, fine, bands = (batch.column(i).flatten().to_numpy().view(np.uint64).reshape(len(ids), -1) for i in (5, 6, 7))
+            now = (tiles, ids, labels, role, band, codes, fine, bands)
             if held is not None:
                 now = tuple(np.concatenate(x) for x in zip(held, now))
             last = int(np.searchsorted(now[0], now[0][-1]))  # the last tile may go on
@@ -358,26 +433,38 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def one_text(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(doc_id, text): one row for each doc_id that is not NULL, with the least of its
+    texts."""
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text].alias("text")).filter("doc_id is not null")
+    again = rows.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if again.isEmpty():
+        return rows
+    again = written(again, "minhash-repeated-ids")
+    least = rows.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return rows.join(again, "doc_id", "left_anti").unionByName(least)
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, class_id): one row for each doc_id."""
-    sigs = written(signatures(docs, id_col, text), "minhash-signatures")
-    texts = sigs.groupBy("key").agg(F.min(F.struct("doc_id", "bands", "code")).alias("m")).select(
-        "key", "m.doc_id", "m.bands", "m.code")
-    found = linked(texts.select("doc_id", "bands", "code"), docs, id_col, text)
+    docs = one_text(docs, id_col, text)
+    sigs = written(signatures(docs), "minhash-signatures")
+    texts = sigs.groupBy("key").agg(F.min(F.struct("doc_id", "bands", "code", "fine")).alias("m")).select("key", "m.*")
+    found = linked(texts.select("doc_id", "bands", "code", "fine"), docs, "doc_id", "text")
     copies = sigs.select("doc_id", "key").join(
         texts.select("key", F.col("doc_id").alias("leader")), "key").select("doc_id", "leader").filter("doc_id <> leader")
     labels = components(written(found.unionByName(copies), "minhash-links"))
-    ids = docs.select(docs[id_col].cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
+    ids = docs.select("doc_id")
     return ids.join(labels, ids["doc_id"] == labels["node"], "left").select(
         "doc_id", F.coalesce("label", "doc_id").alias("class_id"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each class (that of the lowest doc_id; of several such rows,
-    the first by text), with all columns. Rows without a doc_id stay."""
+    the least by text), with all columns. Rows without a doc_id stay."""
     first = classes(docs, id_col, text).filter("doc_id = class_id").select(F.col("doc_id").alias("_kept"))
     kept = docs.join(first, docs[id_col].cast("long") == first["_kept"], "left_semi")
     if not docs.groupBy(id_col).count().filter((F.col("count") > 1) & docs[id_col].isNotNull()).isEmpty():
-        by = Window.partitionBy(docs[id_col]).orderBy(docs[text])
+        by = Window.partitionBy(docs[id_col]).orderBy(F.asc_nulls_last(docs[text]))
         kept = kept.withColumn("_nth", F.row_number().over(by)).filter("_nth = 1").drop("_nth")
     return kept.unionByName(docs.filter(docs[id_col].isNull()))
