@@ -41,3 +41,28 @@ def test_stream_then_publish(spark):
     for name, df in want.items():
         got = PublishedTable(f"{d}/root/published/{name}").read(spark)
         assert sorted(map(tuple, got.select(df.columns).collect())) == sorted(map(tuple, df.collect())), name
+
+
+def test_land_then_stream_from_there(spark):
+    """Every message delivered twice, judged once: the questions count each once."""
+    from pyspark.sql import functions as F
+
+    from trendlens.sources import land_as_stream, stream_messages
+    from trendlens.streaming import NAMES, PublishedTable, parse_messages
+    from trendlens.streaming import processors as S
+
+    d = tempfile.mkdtemp(prefix="cli-land-")
+    messages = stream_messages(spark, "/root/testdata/sf0.001")
+    again = messages.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 5 SECONDS"))
+    land_as_stream(messages.union(again), f"{d}/input", 2)
+    main(["land", "--root", f"{d}/root", "--files", f"{d}/input", "--drain"], spark=spark)
+    main(["stream", "--root", f"{d}/root", "--landed", "--once", "--window", "1 hour", "--drain", "--state-partitions", "2"],
+         spark=spark)
+    parsed = parse_messages(messages)
+    want = {"duration_distribution": S.duration_distribution(parsed, "1 hour"),
+            "trending_freshness": S.trending_freshness(parsed, "1 hour")}
+    for name in NAMES:
+        main(["publish", name, "--root", f"{d}/root", "--window", "1 hour"], spark=spark)
+    for name, df in want.items():
+        got = PublishedTable(f"{d}/root/published/{name}").read(spark)
+        assert sorted(map(tuple, got.select(df.columns).collect())) == sorted(map(tuple, df.collect())), name

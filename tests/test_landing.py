@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trendlens.session import shared_dir
 from trendlens.sources import ENVELOPE_SCHEMA, land_as_stream, replay_stream, stream_history, stream_messages
-from trendlens.streaming import NAMES, TrendStreams, parse_messages
+from trendlens.streaming import NAMES, TrendStreams, first_seen_state, keyed_state, parse_messages
 from trendlens.streaming import landing as L
 from trendlens.streaming import processors as S
 
@@ -128,3 +128,22 @@ def test_redelivered_messages_count_once(spark):
             if "dedupe" in s["operatorName"].lower()]
     assert len(kept) == 1 and kept[0] < once.count() / 10
     assert L.each_once(L.judge_messages(once.union(again))).count() == once.count()
+
+
+def test_state_is_read_back_at_any_batch(spark):
+    """The first sightings in the state equal the published ones, and after an earlier
+    batch those of the messages until then."""
+    root = shared_dir(spark, "test-state", fresh=True)
+    batches = [[message("2026-01-01 10:00:05", video_id="a"), message("2026-01-01 10:00:01", video_id="b")],
+               [message("2026-01-01 10:00:03", video_id="a"), message("2026-01-01 10:00:09", video_id="c")]]
+    for some in batches:
+        spark.createDataFrame(some, ENVELOPE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/input")
+    app = TrendStreams(spark, root, window="30 seconds", state_partitions=2)
+    app.start("trending_freshness", parse_messages(replay_stream(spark, f"{root}/input")), NOW).awaitTermination()
+    checkpoint = f"{root}/checkpoints/trending_freshness"
+    seen = lambda df: {r.video_id: (r.first_seen - AT).seconds for r in df.collect()}
+    assert seen(first_seen_state(spark, checkpoint, 0)) == {"a": 5, "b": 1}
+    assert seen(first_seen_state(spark, checkpoint)) == {"a": 3, "b": 1, "c": 9}
+    logged = app.log("trending_freshness").read(spark).groupBy("video_id").agg(F.min("first_seen").alias("first_seen"))
+    assert seen(first_seen_state(spark, checkpoint)) == seen(logged)
+    assert set(keyed_state(spark, checkpoint).columns) > {"video_id"}

@@ -2,11 +2,14 @@
 
   python -m trendlens prepare RAW_CSV OBSERVATIONS_DIR [--files-per-region N] [--single-line]
   python -m trendlens query NAME OBSERVATIONS_DIR RESULT_PATH [--region US] [--format parquet]
+  python -m trendlens land --root SHARED_DIR (--kafka SERVERS --topic TOPIC | --files DIR) [--drain]
   python -m trendlens stream --history OBSERVATIONS_DIR --root SHARED_DIR
-                             (--kafka SERVERS --topic TOPIC | --files DIR) [--window "30 seconds"]
-                             [--drain]
+                             (--kafka SERVERS --topic TOPIC | --files DIR | --landed [--once])
+                             [--window "30 seconds"] [--drain]
   python -m trendlens publish NAME --root SHARED_DIR [--window "30 seconds"]
 
+``land`` judges and decodes messages once, into SHARED_DIR/messages; ``stream --landed``
+answers from there, with ``--once`` each message once, however often it was delivered.
 ``stream`` runs until a query stops; with ``--drain`` it takes what has arrived
 and ends. ``publish`` replaces the result table ``SHARED_DIR/published/NAME`` by
 the current result of a stream question.
@@ -30,7 +33,7 @@ from trendlens.sources import (
     write_observations,
     write_result,
 )
-from trendlens.streaming import NAMES, TrendStreams, parse_messages
+from trendlens.streaming import NAMES, TrendStreams, each_once, land_messages, landed_messages, parse_messages
 from trendlens.streaming.processors import DEFAULT_WINDOW
 
 REGIONAL = {"view_count_change_per_day", "top_tag_combinations"}
@@ -75,6 +78,14 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--window", default=DEFAULT_WINDOW)
     st.add_argument("--state-partitions", type=int, default=None)
     st.add_argument("--drain", action="store_true")
+    st.add_argument("--landed", action="store_true")
+    st.add_argument("--once", action="store_true")
+    ld = sub.add_parser("land")
+    ld.add_argument("--root", required=True)
+    ld.add_argument("--kafka", default=None)
+    ld.add_argument("--topic", default=None)
+    ld.add_argument("--files", default=None)
+    ld.add_argument("--drain", action="store_true")
     pb = sub.add_parser("publish")
     pb.add_argument("name", choices=NAMES)
     pb.add_argument("--root", required=True)
@@ -82,6 +93,14 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _source(spark, args):
+    if args.kafka:
+        return kafka_source(spark, args.kafka, args.topic)
+    if args.files:
+        return replay_stream(spark, args.files)
+    raise SystemExit(f"{args.cmd} needs --kafka/--topic or --files")
+
+
 def main(argv: list[str] | None = None, spark=None) -> None:
     args = _parser().parse_args(argv)
     spark = spark or build_session(app_name=f"trendlens-{args.cmd}")
@@ -94,17 +113,18 @@ def main(argv: list[str] | None = None, spark=None) -> None:
         write_result(QUESTIONS[args.name](obs, **kw), args.out, fmt=args.format)
     elif args.cmd == "publish":
         TrendStreams(spark, args.root, window=args.window).publish(args.name)
+    elif args.cmd == "land":
+        land_messages(_source(spark, args), args.root, {"availableNow": True} if args.drain else None).awaitTermination()
     else:
-        if args.kafka:
-            source = kafka_source(spark, args.kafka, args.topic)
-        elif args.files:
-            source = replay_stream(spark, args.files)
+        if args.landed:
+            parsed = landed_messages(spark, args.root)
+            parsed = each_once(parsed) if args.once else parsed
         else:
-            raise SystemExit("stream needs --kafka/--topic or --files")
+            parsed = parse_messages(_source(spark, args))
         history = read_observations(spark, args.history) if args.history else None
         app = TrendStreams(spark, args.root, history=history, window=args.window,
                            state_partitions=args.state_partitions)
-        app.run(parse_messages(source), {"availableNow": True} if args.drain else None, drain=args.drain)
+        app.run(parsed, {"availableNow": True} if args.drain else None, drain=args.drain)
 
 
 if __name__ == "__main__":
