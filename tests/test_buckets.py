@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from trendlens.session import shared_dir
-from trendlens.streaming import BucketedTable
+from trendlens.sources import land_as_stream, replay_stream, stream_messages
+from trendlens.streaming import BucketedTable, TrendStreams, parse_messages
+from trendlens.streaming import processors as S
 
 SCHEMA = "k string, best bigint, first bigint"
 MERGE = {"best": F.max, "first": F.min}
@@ -91,3 +93,24 @@ def test_readers_that_have_begun_keep_their_version(spark):
     t.upsert(frame(spark, [("a", 2, 0)]), 1)
     assert [tuple(r) for r in old.collect()] == [("a", 1, 1)] and state(t, spark) == [("a", 2, 0)]
     assert json.loads(open(f"{t.path}/manifest.json").read())["batch"] == 1
+
+
+def test_the_app_keeps_reach_in_buckets(spark):
+    """S2 as a table that is current after every batch, through a crash between the
+    table and the commit too."""
+    sf = "/root/testdata/sf0.001"
+    root = shared_dir(spark, "test-reach", fresh=True)
+    land_as_stream(stream_messages(spark, sf), f"{root}/input", 3)
+    app = TrendStreams(spark, root, window="1 hour", state_partitions=2, reach_buckets=4)
+    want = sorted(map(tuple, S.channel_regional_reach(parse_messages(stream_messages(spark, sf)), "1 hour").collect()))
+    for _ in range(2):
+        app.start("channel_regional_reach", parse_messages(replay_stream(spark, f"{root}/input")),
+                  {"availableNow": True}).awaitTermination()
+        assert sorted(map(tuple, app.result("channel_regional_reach").collect())) == want
+        commits = f"{root}/checkpoints/channel_regional_reach/commits"
+        last = max(int(f) for f in os.listdir(commits) if f.isdigit())
+        for f in (f"{commits}/{last}", f"{commits}/.{last}.crc"):
+            if os.path.exists(f):
+                os.remove(f)
+    app.publish("channel_regional_reach")
+    assert sorted(map(tuple, app.published("channel_regional_reach").read(spark).collect())) == want

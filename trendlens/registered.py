@@ -9,13 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trendlens import plans
 from trendlens.operators.tags import frequent_tags
-from trendlens.operators.topk import top_k_with_ties
 from trendlens.plans import daily
 from trendlens.session import pin_utc, shared_dir
 from trendlens.sources import land_as_stream, observations, replay_stream, stream_messages, write_bucketed
 from trendlens.streaming import (
     BatchLog,
-    BucketedTable,
     TrendStreams,
     each_once,
     first_seen_state,
@@ -86,8 +84,9 @@ class _Replay:
         self.drained(stream, log, mode)
         return log.read(self.spark).drop("batch_id")
 
-    def app(self) -> TrendStreams:
-        return TrendStreams(self.spark, self.root, window=WINDOW, state_partitions=self.spark.sparkContext.defaultParallelism)
+    def app(self, **options) -> TrendStreams:
+        return TrendStreams(self.spark, self.root, window=WINDOW, state_partitions=self.spark.sparkContext.defaultParallelism,
+                            **options)
 
 
 def fresh_within_ttl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,10 +143,9 @@ def first_seen_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def channel_regional_reach_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 into a bucketed table that every batch brings up to date."""
     replay = _Replay(spark, sf_dir, "channel_regional_reach_upsert")
-    table = BucketedTable(f"{replay.root}/reach", "channel_title string, regional_reach bigint", ["channel_title"],
-                          {"regional_reach": F.max}, BUCKETS)
-    replay.drained(streamed.channel_reach_updates(replay.parsed(), WINDOW), table, "update")
-    return top_k_with_ties(table.read(spark), "regional_reach", streamed.DEFAULT_REACH_K)
+    app = replay.app(reach_buckets=BUCKETS)
+    app.start("channel_regional_reach", replay.parsed(), NOW).awaitTermination()
+    return app.result("channel_regional_reach")
 
 
 def channel_reach_by_day_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

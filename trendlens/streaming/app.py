@@ -11,12 +11,15 @@ processors on the same input.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from trendlens.operators.topk import top_k_with_ties
 from trendlens.plans.history import hist_channel_ids, views_baseline
 from trendlens.streaming import processors as P
+from trendlens.streaming.buckets import BucketedTable
 from trendlens.streaming.sinks import BatchLog, Folder, PublishedTable, fold_per_key, latest_per_key
 
 # The processing-time trigger of each query.
@@ -49,7 +52,7 @@ class TrendStreams:
                  window: str = P.DEFAULT_WINDOW, reach_k: int = P.DEFAULT_REACH_K,
                  max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
                  state_partitions: int | None = None, compact_every: int | None = 50,
-                 freshness: str = "earliest"):
+                 freshness: str = "earliest", reach_buckets: int | None = None):
         """``state_partitions`` fixes the number of state-store partitions of
         every query (size it to the key volume: it cannot change once a
         checkpoint exists); ``None`` takes the session's shuffle setting.
@@ -57,10 +60,15 @@ class TrendStreams:
         ``freshness`` picks the first-seen state of S3: ``"earliest"`` (minimum
         event time per item, order-independent; every batch re-emits the items
         it touched) or ``"arrival"`` (first message per item via streaming
-        deduplication; each item is emitted once; equal for in-order input)."""
+        deduplication; each item is emitted once; equal for in-order input).
+        ``reach_buckets`` keeps S2 in a table of that many buckets, which every batch
+        brings up to date by rewriting the buckets it touches, instead of a log that
+        readers fold: results are current after each batch, at the price of a read and
+        a write of those buckets."""
         if freshness not in ("earliest", "arrival"):
             raise ValueError("freshness must be 'earliest' or 'arrival'")
         self.freshness = freshness
+        self.reach_buckets = reach_buckets
         self.spark = spark
         self.state_partitions = state_partitions
         self.compact_every = compact_every
@@ -73,7 +81,13 @@ class TrendStreams:
     def log(self, name: str, prepare=None) -> BatchLog:
         return BatchLog(f"{self.root}/out/{name}", prepare, LOG_MERGES[name], self.compact_every)
 
-    def _start(self, name: str, updates: DataFrame, sink: BatchLog,
+    @property
+    def reach_table(self) -> BucketedTable:
+        """Best reach per channel title, as a table (see ``reach_buckets``)."""
+        return BucketedTable(f"{self.root}/out/channel_regional_reach_table", "channel_title string, regional_reach bigint",
+                             ["channel_title"], {"regional_reach": F.max}, self.reach_buckets)
+
+    def _start(self, name: str, updates: DataFrame, sink: Callable[[DataFrame, int], None],
                trigger: dict | None) -> StreamingQuery:
         trig = trigger if trigger is not None else {"processingTime": TRIGGERS[name]}
         writer = (updates.writeStream.outputMode("update").foreachBatch(sink)
@@ -117,7 +131,8 @@ class TrendStreams:
         if name == "duration_distribution":
             return self._start(name, P.duration_distribution(parsed, w), self.log(name), trigger)
         if name == "channel_regional_reach":
-            return self._start(name, P.channel_reach_updates(parsed, w), self.log(name), trigger)
+            sink = self.reach_table if self.reach_buckets else self.log(name)
+            return self._start(name, P.channel_reach_updates(parsed, w), sink, trigger)
         if name == "trending_freshness":
             seen = P.first_seen(parsed) if self.freshness == "earliest" else P.first_arrival(parsed)
             return self._start(name, seen, self.log(name), trigger)
@@ -153,6 +168,8 @@ class TrendStreams:
 
     # reading the final tables ---------------------------------------------------------------
     def result(self, name: str) -> DataFrame:
+        if name == "channel_regional_reach" and self.reach_buckets:
+            return top_k_with_ties(self.reach_table.read(self.spark), "regional_reach", self.reach_k)
         log = self.log(name).read(self.spark)
         if name == "duration_distribution":
             return latest_per_key(log, ["window_start"]).select(
