@@ -1,12 +1,13 @@
 import hashlib
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 
 from trendlens.llm import pieces as P
 from trendlens.llm.queries import QUERIES
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -104,12 +105,27 @@ def test_decoding_of_any_ids(spark):
     assert sorted((r.doc_id, r.text) for r in P.encode(docs, model, round_trip=True).collect()) == texts
 
 
+def test_ids_of_words_equal_their_parts():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(2)
+    words = ["".join(rng.choice("aé中b▁") for _ in range(rng.choice([1, 2, 5, 48, 49, 70]))) for _ in range(300)]
+    joints = [rng.getrandbits(48) & ((1 << min(len(w), 48)) - 2) for w in words]
+    ids = {c: i for i, c in enumerate(["a", "b", "▁", "ab", "aa", "中b"])}
+    for some, bits in ((words, joints), (["a"], [0]), (["中"], [0])):
+        per, flat = P.ids_of_words(pa.array(some), np.array(bits, np.int64), ids, 100, list)
+        want = [P._ids_of_parts(P._parts(w, x) if len(w) <= P.LONGEST else list(w), ids, 100) for w, x in zip(some, bits)]
+        assert per.tolist() == [len(w) for w in want] and flat.tolist() == [i for w in want for i in w]
+
+
 def test_words_and_numbers_survive_packing():
     import numpy as np
 
     words = ["", "é▁", "a\nb", "\x00", "中" * 50]
-    assert P._unpack_words(5, P._pack_words(words)).to_pylist() == words
-    assert P._unpack_words(0, P._pack_words([])).to_pylist() == []
+    assert P._unpack_words(5, P._pack_words(pa.array(words))).to_pylist() == words
+    assert P._unpack_words(0, P._pack_words(pa.array([], pa.string()))).to_pylist() == []
     for numbers in ([0, 1, 65535, 65536, 2**31 - 1], [], [7]):
         numbers = np.array(numbers, np.int32)
         assert P._unpack_numbers(P._pack_numbers(numbers)).tolist() == numbers.tolist()

@@ -32,7 +32,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -127,8 +126,8 @@ def _opened(blob: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompressobj().decompress(blob)
 
 
-def _pack_words(words: list[str]) -> bytes:
-    _, offsets, data = pa.array(words, pa.string()).buffers()
+def _pack_words(words: pa.StringArray) -> bytes:
+    _, offsets, data = words.buffers()
     press = zstandard.ZstdCompressor(level=3).compressobj()
     return press.compress(memoryview(offsets)[:4 * (len(words) + 1)]) + \
         press.compress(memoryview(data) if data else b"") + press.flush()
@@ -139,11 +138,15 @@ def _unpack_words(n: int, blob: bytes) -> pa.StringArray:
     return pa.StringArray.from_buffers(n, raw.slice(0, 4 * (n + 1)), raw.slice(4 * (n + 1)))
 
 
-def _pack_numbers(numbers: np.ndarray) -> bytes:
-    """The four bytes of the numbers apart; the upper ones are nearly all alike."""
+def _pack_numbers(numbers: np.ndarray, rank: np.ndarray | None = None) -> bytes:
+    """The four bytes of the numbers (or of their ranks) apart; the upper ones are
+    nearly all alike."""
     press = zstandard.ZstdCompressor(level=3).compressobj()
-    out = [press.compress((numbers[i:i + PLANE] >> shift).astype(np.uint8).tobytes())
-           for shift in (0, 8, 16, 24) for i in range(0, len(numbers), PLANE)]
+    out = []
+    for shift in (0, 8, 16, 24):
+        for i in range(0, len(numbers), PLANE):
+            some = numbers[i:i + PLANE] if rank is None else rank[numbers[i:i + PLANE]]
+            out.append(press.compress((some >> shift).astype(np.uint8).tobytes()))
     return b"".join(out) + press.flush()
 
 
@@ -182,12 +185,13 @@ class _Chunk:
         names = list(self.numbers)
         self.numbers.clear()
         by_count = np.argsort(-np.bincount(whole, minlength=len(names)), kind="stable").astype(np.int32)
-        by_name = np.array(sorted(range(len(names)), key=names.__getitem__), np.int32)
+        words = pa.array(names, pa.string())
+        by_name = pc.array_sort_indices(words).to_numpy().astype(np.int32)
         rank, place = np.empty_like(by_count), np.empty_like(by_name)
         rank[by_count] = np.arange(len(names), dtype=np.int32)
         place[by_name] = np.arange(len(names), dtype=np.int32)
-        cells = (number, self.ids, self.counts, self.digests, len(names), _pack_words([names[i] for i in by_name.tolist()]),
-                 _pack_numbers(place[by_count]), _pack_numbers(rank[whole]))
+        cells = (number, self.ids, self.counts, self.digests, len(names), _pack_words(words.take(pa.array(by_name))),
+                 _pack_numbers(place[by_count]), _pack_numbers(whole, rank))
         return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(cells, _CHUNK)], schema=_CHUNK)
 
 
@@ -219,6 +223,7 @@ def _chunks(docs: DataFrame, id_col: str, text_col: str, pattern: str) -> DataFr
                 chunk.add(batch.column(0)[i].as_py(), text, find)
         if chunk.ids:
             yield chunk.row(number)
+        pa.default_memory_pool().release_unused()  # the worker lives on, idle, while others run
 
     return docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")).mapInArrow(
         run, "chunk long, ids array<long>, counts array<int>, digests array<binary>, n_words int, words binary, "
@@ -400,11 +405,40 @@ def _ids_of_parts(parts: list[str], ids: dict[str, int], byte_base: int) -> list
     return out
 
 
+def ids_of_words(words: pa.StringArray, joints: np.ndarray, ids: dict[str, int], byte_base: int, long_word):
+    """(how many ids each word has, all ids): words are cut at the places that are no
+    joints. ``long_word`` gives the parts of a word of more than ``LONGEST``."""
+    n = pc.utf8_length(words).to_numpy().astype(np.int64)
+    whole = "".join(words.to_pylist())
+    start = np.cumsum(n) - n
+    place = np.arange(len(whole)) - np.repeat(start, n)
+    long = n > LONGEST
+    joined = (np.repeat(joints, n) >> np.minimum(place, LONGEST)) & 1 == 1
+    joined |= np.repeat(long, n) & (place > 0)  # one part for now
+    begin = np.flatnonzero(~joined)
+    parts = [whole[a:b] for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(whole)])]
+    found = list(map(ids.get, parts))
+    size = np.ones(len(parts), np.int64)
+    if None in found or long.any():
+        owner = np.searchsorted(start, begin, side="right") - 1
+        flat: list[int] = []
+        for k, (part, i) in enumerate(zip(parts, found)):
+            if i is not None and len(part) <= LONGEST:
+                flat.append(i)
+                continue
+            more = _ids_of_parts(long_word(part) if long[owner[k]] else [part], ids, byte_base)
+            size[k] = len(more)
+            flat += more
+        found = flat
+    per_word = np.add.reduceat(size, np.searchsorted(begin, start)) if len(n) else size
+    return per_word, np.array(found, np.int32)
+
+
 class _Bytes:
     """The bytes that each id decodes to, in one array."""
 
     def __init__(self, decoded: tuple[bytes, ...]):
-        self.data = np.frombuffer(b"".join(decoded), np.uint8)
+        self.data = np.frombuffer(b"".join(decoded) or b"\0", np.uint8)
         self.size = np.fromiter(map(len, decoded), np.int64, len(decoded))
         self.begin = np.cumsum(self.size) - self.size
 
@@ -412,13 +446,16 @@ class _Bytes:
         """The texts that lists of ids decode to: their bytes, without the space that
         stands before each text; what is no UTF-8 becomes U+FFFD."""
         ids, edge = cells.flatten().to_numpy(), np.append(0, np.cumsum(_list_sizes(cells)))
-        length, raw = _gathered(self.size, self.data, ids, self.begin)
-        ends = np.append(0, np.cumsum(length))[edge]
-        keep = np.ones(len(raw), bool)
-        first = ends[:-1][ends[:-1] < ends[1:]]
-        keep[first[raw[first] == 32]] = False
-        offsets = np.append(0, np.cumsum(keep))[ends]
-        raw = raw[keep]
+        begin, size = self.begin[ids], self.size[ids]
+        first = edge[:-1][edge[:-1] < edge[1:]]
+        first = first[(size[first] > 0) & (self.data[np.minimum(begin[first], len(self.data) - 1)] == 32)]
+        begin[first] += 1
+        size[first] -= 1
+        ends = np.append(0, np.cumsum(size))
+        offsets = ends[edge]
+        at = np.repeat((begin - ends[:-1]).astype(np.int32), size)
+        at += np.arange(len(at), dtype=np.int32)
+        raw = self.data[at]
         mask = None if not cells.null_count else pa.py_buffer(np.packbits(
             cells.is_valid().to_numpy(zero_copy_only=False), bitorder="little").tobytes())
         found = pa.Array.from_buffers(pa.large_binary(), len(cells), [mask, pa.py_buffer(offsets), pa.py_buffer(raw)])
@@ -461,9 +498,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         ids, score, kind, longest, unknown, byte_base, decoded = shared.value
         back = _Bytes(decoded) if round_trip else None
 
-        def parts(word: str, bits: int) -> list[str]:
-            if len(word) <= LONGEST:
-                return _parts(word, bits)
+        def long_word(word: str) -> list[str]:
             return merged_by_heap(word, score) if kind == "bpe" else best_path(word, score, longest, unknown)
 
         for batch in batches:
@@ -473,12 +508,10 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 joints = np.zeros(n, np.int64)
                 if row["nth"].is_valid:
                     joints[row["nth"].values.to_numpy()] = row["joints"].values.to_numpy()
-                flat, size = array("i"), np.zeros(n, np.int32)
-                for k, (word, bits) in enumerate(zip(_unpack_words(n, row["words"].as_py()), joints)):
-                    before = len(flat)
-                    flat.extend(_ids_of_parts(parts(word.as_py(), int(bits)), ids, byte_base))
-                    size[k] = len(flat) - before
-                flat = np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32)
+                words = _unpack_words(n, row["words"].as_py())
+                found = [ids_of_words(words[k:k + BATCH_WORDS], joints[k:k + BATCH_WORDS], ids, byte_base, long_word)
+                         for k in range(0, n, BATCH_WORDS)] or [(np.zeros(0, np.int64), np.zeros(0, np.int32))]
+                size, flat = (np.concatenate(x) for x in zip(*found))
                 begin, places = np.cumsum(size) - size, _unpack_numbers(row["places"].as_py())
                 begin, size, numbers = begin[places], size[places], _unpack_numbers(row["numbers"].as_py())
                 edge = np.concatenate([[0], np.cumsum(np.maximum(counts, 0))])  # of the words of each text
