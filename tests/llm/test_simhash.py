@@ -110,3 +110,15 @@ def test_a_large_bucket_makes_no_pairs(spark):
     n = nodes.count()
     assert n > 4000
     assert simhash.links(nodes).count() <= 66 * n
+
+
+def test_copies_of_one_text_are_not_dealt_to_one_task(spark, monkeypatch):
+    """Fingerprints that are hot and others, with and without ids, give the same rows
+    by either way."""
+    rows = [(i if i % 7 else None, "the same text of a few words") for i in range(60)]
+    rows += [(100 + i, f"text {i} of its own {i * i}") for i in range(20)] + [(None, None), (200, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain(rows)
+    for hot in (10**9, 4, 0):
+        monkeypatch.setattr(simhash, "HOT", hot)
+        assert got(simhash.cluster(df)) == want

@@ -16,6 +16,9 @@ Fingerprints that differ in at most ``DISTANCE`` bits are linked.
    within one bit of it. Two nodes share a point exactly if they differ in at most
    two bits, and a point has at most 65 nodes, which are linked in a star.
 5. Links are contracted to components.
+6. Documents take the component of their fingerprint. Fingerprints that more than
+   one in ``HOT`` documents share are fewer than ``HOT``; these are broadcast, so the
+   copies of one text are never dealt to one task.
 
 Every step is exact: no link between two fingerprints is lost, and nothing
 grows with the square of a group.
@@ -49,6 +52,7 @@ SEED = 42
 DISTANCE = 2
 BLOCKS = 5
 BIG = 64
+HOT = 1000
 BITS = 64
 BLOCK_BYTES = 1 << 20
 
@@ -162,15 +166,24 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text: str = "text", blocks:
             big: int = BIG) -> DataFrame:
     """(doc_id, fingerprint, component_id): one row for each row of ``docs``."""
     marked = written(fingerprints(docs, id_col, text), "simhash-fingerprints")
-    nodes = written(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "simhash-nodes")
+    nodes = written(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "simhash-nodes")
     joined = written(links(nodes.select("fingerprint"), blocks, big).select(
         F.col("a").alias("doc_id"), F.col("b").alias("leader")), "simhash-links")
     labelled = nodes.join(components(joined).withColumnRenamed("node", "fingerprint"), "fingerprint")
     lowest = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
     linked = labelled.join(lowest, "label").select("fingerprint", "component_id")
     table = nodes.join(linked, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("component_id", "first").alias("component_id"))
-    return marked.join(table, "fingerprint").select("doc_id", "fingerprint", "component_id")
+        "fingerprint", F.coalesce("component_id", "first").alias("component_id"), "n")
+    return _with_components(marked, written(table, "simhash-components"))
+
+
+def _with_components(marked: DataFrame, table: DataFrame) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of all documents."""
+    hot = F.broadcast(table.filter(F.col("n") * HOT > marked.count()).select("fingerprint", "component_id"))
+    copies = marked.join(hot, "fingerprint")
+    others = marked.join(hot, "fingerprint", "left_anti").join(table, "fingerprint")
+    return copies.select("doc_id", "fingerprint", "component_id").unionByName(
+        others.select("doc_id", "fingerprint", "component_id"))
 
 
 def as_hex(c: Column) -> Column:
