@@ -7,7 +7,8 @@ import random
 
 import pytest
 
-from trendlens.session import shared_dir
+from trendlens import registered
+from trendlens.session import session_conf, shared_dir
 from trendlens.sources import ENVELOPE_SCHEMA, replay_stream
 from trendlens.streaming import BatchLog, fresh_sightings, fresh_windows, parse_messages, state_rows
 from trendlens.streaming.sightings import microseconds, partial_runs
@@ -137,3 +138,21 @@ def test_static_frames_give_the_same(spark):
         got = fresh_sightings(df, None if ttl is None else f"{ttl} seconds").collect()
         assert {(r.item, int((r.fresh_at - AT).total_seconds())) for r in got} == plain_fresh(times, ttl)
         assert len(got) == len(plain_fresh(times, ttl))
+
+
+def test_the_queries_run_in_a_session_with_another_state_store(spark, tmp_path):
+    """A session that was not built here keeps its state store, and both queries run."""
+    hours = [(1, 0), (1, 1), (2, 0.5), (1, 14), (2, 20), (3, 45), (1, 80)]
+    rows = [(i, AT + dt.timedelta(hours=h), user, "r", 1.0, '{"k": 3}') for i, (user, h) in enumerate(hours)]
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string") \
+        .coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    other = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    with session_conf(spark, {key: other}):
+        again = registered.fresh_within_ttl_stream(spark, str(tmp_path)).collect()
+        once = registered.trending_freshness_append_stream(spark, str(tmp_path)).collect()
+        assert spark.conf.get(key) == other
+    found = lambda some: {r.window_start[5:16]: r.fresh_count for r in some}
+    assert found(again) == {"01-01 00:00": 2, "01-01 14:00": 1, "01-01 20:00": 1, "01-02 21:00": 1}
+    assert found(once) == {"01-01 00:00": 2, "01-02 21:00": 1}

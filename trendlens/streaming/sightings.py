@@ -6,7 +6,8 @@ first of all. With a TTL an item is fresh again after it was not seen for that l
 without one it is fresh once.
 
 State: one small list of open runs (start, end, emitted) for each item, on RocksDB
-(``transformWithState``). Two event-time timers drive it:
+(``transformWithState``; start the query under ``session.ROCKSDB_STATE`` if the session
+has another store). Two event-time timers drive it:
 
 * When the watermark passes a run's start, no earlier sighting can come, so the
   start is final and is emitted, once. The order in which messages arrive within the
