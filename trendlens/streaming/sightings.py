@@ -7,7 +7,8 @@ without one it is fresh once.
 
 State: one small list of open runs (start, end, emitted) for each item, on RocksDB
 (``transformWithState``; start the query under ``session.ROCKSDB_STATE`` if the session
-has another store). Two event-time timers drive it:
+has another store). One event-time timer for each item drives it, set for the first of
+what is due:
 
 * When the watermark passes a run's start, no earlier sighting can come, so the
   start is final and is emitted, once. The order in which messages arrive within the
@@ -88,16 +89,14 @@ class _Runs(StatefulProcessor):
         self.runs = handle.getValueState("runs", _RUN_SCHEMA)
 
     def _load(self) -> list[list]:
-        if not self.runs.exists():
-            return []
-        return [list(r) for r in zip(*self.runs.get())]
+        held = self.runs.get()
+        return [] if held is None else [list(r) for r in zip(*held)]
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(rows)
         gap = self.ttl if self.ttl is not None else _FOREVER
         runs: list[list] = []
-        known = self._load()
-        known += [[int(s), int(e), False] for s, e in zip(new["start_us"], new["end_us"])]
+        held = self._load()
+        known = held + [[s, e, False] for part in rows for s, e in zip(part["start_us"].tolist(), part["end_us"].tolist())]
         for start, end, emitted in sorted(known):
             if runs and start - runs[-1][1] <= gap:
                 runs[-1][1] = max(runs[-1][1], end)
@@ -105,36 +104,47 @@ class _Runs(StatefulProcessor):
                 runs[-1][2] = runs[-1][2] or emitted
             else:
                 runs.append([start, end, emitted])
-        self._set(runs)
+        self._set(runs, self._next(held))
         return iter(())
 
-    def _set(self, runs: list[list]) -> None:
-        """Keep the runs; their timers are when each can be emitted and dropped. Both are
-        set at once, so one advance of the watermark can do both."""
-        if not runs:
+    def _set(self, runs: list[list], timer: int | None) -> None:
+        """Keep the runs, and one timer: when the first of them can be emitted or dropped.
+        ``timer`` is the one that is set."""
+        if runs:
+            self.runs.update(tuple(list(c) for c in zip(*runs)))
+        else:
             self.runs.clear()
-            return
-        self.runs.update(tuple(list(c) for c in zip(*runs)))
-        due = {self._due(start) for start, _, emitted in runs if not emitted}
+        due = self._next(runs)
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
+
+    def _next(self, runs: list[list]) -> int | None:
+        due = [self._due(start) for start, _, emitted in runs if not emitted]
         if self.ttl is not None:
-            due |= {self._due(end + self.ttl) for _, end, _ in runs}
-        for at in due - set(self.handle.listTimers()):
-            self.handle.registerTimer(at)
+            due += [self._due(end + self.ttl) for _, end, _ in runs]
+        return min(due, default=None)
 
     @staticmethod
     def _due(us: int) -> int:
         return -(-us // 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+        """All that the watermark has passed, not only what the timer was set for: the
+        next timer lies beyond it, so an item has one call for each batch."""
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
         fresh, left = [], []
-        for start, end, emitted in self._load():
+        held = self._load()
+        for start, end, emitted in held:
             if not emitted and self._due(start) <= now:
                 fresh.append(start)
                 emitted = True
             if not (emitted and self.ttl is not None and self._due(end + self.ttl) <= now):
                 left.append([start, end, emitted])
-        self._set(left)
+        if left != held:  # the timer that is called is taken off by Spark
+            self._set(left, None)
         if fresh:
             yield pd.DataFrame({"item": [str(key[0])] * len(fresh),
                                 "fresh_at": pd.to_datetime(pd.Series(fresh, dtype="int64"), unit="us")})
