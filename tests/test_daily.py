@@ -11,11 +11,12 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from trendlens import plans
+from fixtures import obs_frame, obs_row
+from trendlens import plans, registered
 from trendlens.operators.tags import frequent_tags
 from trendlens.plans import daily
 from trendlens.session import shared_dir
-from trendlens.sources import ENVELOPE_SCHEMA, observations, read_raw_csv, replay_stream, write_bucketed
+from trendlens.sources import ENVELOPE_SCHEMA, observations, read_raw_csv, replay_stream, write_bucketed, write_observations
 from trendlens.streaming import BatchLog, item_sessions, parse_messages, reach_over, reach_sketch_updates
 
 SF = "/root/testdata/sf0.001"
@@ -93,6 +94,41 @@ def test_growth_over_buckets_needs_no_shuffle_below_its_window(spark):
     assert rows(plans.fastest_growth_videos(spark.table(name))) == rows(plans.fastest_growth_videos(obs))
 
 
+def test_stored_forms_get_more_files_as_they_grow(spark):
+    """No file, so no task, holds many more rows than asked for; the rows are the same."""
+    some = [obs_row(video=f"v{i % 400}", day=1 + i % 28, region="A" if i % 4 else None, views=i) for i in range(4000)]
+    obs = obs_frame(spark, some).repartition(3)
+    path, name = shared_dir(spark, "test-grown", fresh=True), f"obs_{uuid.uuid4().hex}"
+    sizes = lambda at: sorted(r[0] for r in spark.read.parquet(at).groupBy(
+        F.input_file_name()).count().select("count").collect())
+    write_observations(obs, f"{path}/few", files_per_partition=2)
+    write_observations(obs, f"{path}/many", files_per_partition=2, rows_per_file=300)
+    assert len(sizes(f"{path}/few")) <= 4 and 11 <= len(sizes(f"{path}/many")) <= 20
+    assert sizes(f"{path}/many")[-1] < 2 * 300 and sizes(f"{path}/few")[-1] > 1000
+    assert rows(spark.read.parquet(f"{path}/many").select(*obs.columns)) == rows(obs)
+    write_bucketed(obs, name, f"{path}/bucketed", n_buckets=4, rows_per_bucket=300)
+    buckets = spark.sql(f"describe extended {name}").where("col_name = 'Num Buckets'").first()[1]
+    assert buckets == "16" and sizes(f"{path}/bucketed")[-1] < 2 * 300
+    assert rows(spark.table(name).select(*obs.columns)) == rows(obs)
+
+
+def test_sums_of_the_cube_are_exact(spark):
+    values = [2**63 - 1, 2**63 - 1, -2**63, -1, 5, None, 2**62 + 3]
+    got = daily.cube_rows(obs_frame(spark, [obs_row(views=v, likes=-7, comments=None) for v in values])).first()
+    assert (int(got.view_count_sum), got.view_count_n) == (sum(v for v in values if v is not None), 6)
+    assert int(got.likes_sum) == -49 and got.comment_count_sum is None
+
+
+def test_the_newest_day_is_looked_up_once(spark, monkeypatch):
+    """The second load reads its day by a plain date, which the scan can use."""
+    plans_seen = []
+    load = daily.DailyTables.load
+    monkeypatch.setattr(daily.DailyTables, "load", lambda self, obs: (
+        plans_seen.append(obs._jdf.queryExecution().optimizedPlan().toString()), load(self, obs))[1])
+    registered._daily(spark, SF)
+    assert len(plans_seen) == 2 and not any("subquery" in p for p in plans_seen)
+
+
 def test_a_csv_file_without_quoted_newlines_is_split(spark, tmp_path):
     text = "a,b\n" + "".join(f"{i},\"x,{i}\"\n" for i in range(60_000))
     (tmp_path / "raw.csv").write_text(text)

@@ -24,13 +24,19 @@ COUNTS = ("view_count", "likes", "dislikes", "comment_count")
 MEASURES = (*COUNTS, "engagement")
 
 
+def _exact_sum(name: str) -> Column:
+    """The sum of a BIGINT column as DECIMAL(30,0): its high and low halves are added up
+    as whole numbers, which is much cheaper for each row than adding decimals."""
+    high, low = F.sum(F.shiftright(name, 32)), F.sum(F.col(name).bitwiseAND(F.lit(0xFFFFFFFF)))
+    return (high.cast("decimal(20,0)") * F.lit(2**32).cast("decimal(10,0)") + low.cast("decimal(20,0)")).cast("decimal(30,0)")
+
+
 def cube_rows(obs: DataFrame) -> DataFrame:
     """One row per (day, region, category): ``n_rows``, ``n_ids`` and for each measure
     ``<m>_sum`` and ``<m>_n``. Whole numbers add up exactly, whatever their size."""
     sums = []
     for m in MEASURES:
-        value = F.col(m).cast("decimal(20,0)") if m in COUNTS else F.col(m)
-        sums += [F.sum(value).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n")]
+        sums += [(_exact_sum(m) if m in COUNTS else F.sum(m)).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n")]
     return obs.groupBy(DAY, *DIMENSIONS).agg(F.count("*").alias("n_rows"), F.count("video_id").alias("n_ids"), *sums)
 
 
